@@ -26,6 +26,10 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Shuffle files of a written table go when it is written.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Written tables in the shared folder.  They cut lineage and survive lost executors."""
 
@@ -37,7 +41,12 @@ class Scratch:
     def save(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.base}/{self.count:03d}"
-        df.write.parquet(path)
+        held = self.spark.conf.get(_CLEAN, None)
+        self.spark.conf.set(_CLEAN, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_CLEAN, held) if held is not None else self.spark.conf.unset(_CLEAN)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out

@@ -54,5 +54,25 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_chat": op1_chat, "op2_gif": op2_gif, "op7_tokens": op7_tokens, "op8_mix": op8_mix, "op10_simhash": op10_simhash}
+def op4_suffixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import suffixtree
+
+    return suffixtree.digests(suffixtree.dedup_words(table(spark, sf_dir, "documents")))
+
+
+def op6_suffixarray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import suffixarray
+
+    return suffixarray.digests(suffixarray.dedup_bytes(table(spark, sf_dir, "documents")))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat": op1_chat,
+    "op2_gif": op2_gif,
+    "op4_suffixtree": op4_suffixtree,
+    "op6_suffixarray": op6_suffixarray,
+    "op7_tokens": op7_tokens,
+    "op8_mix": op8_mix,
+    "op10_simhash": op10_simhash,
+}
 SQL: dict[str, str] = {"op8_mix": mixing_sql}
