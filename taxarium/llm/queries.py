@@ -66,6 +66,12 @@ def op6_suffixarray(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixarray.digests(suffixarray.dedup_bytes(table(spark, sf_dir, "documents")))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import language
+
+    return language.language_of(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_gif": op2_gif,
@@ -73,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffixarray": op6_suffixarray,
     "op7_tokens": op7_tokens,
     "op8_mix": op8_mix,
+    "op9_language": op9_language,
     "op10_simhash": op10_simhash,
 }
 SQL: dict[str, str] = {"op8_mix": mixing_sql}

@@ -2,7 +2,7 @@
 
 Each shard's contexts are one text.  Suffixes end with their context.  ``suffix_array`` sorts by
 eight bytes and then doubles the compared depth, re-sorting only groups that are still tied, until
-the depth reaches the window length.  ``common_prefixes`` runs Kasai's scan over all contexts in
+the depth reaches the end of the longest context.  ``common_prefixes`` runs Kasai's scan over all contexts in
 step: going one place to the right keeps all but one of the bytes in common.  Windows are equal
 where neighbours in the array have at least their length in common.  ``repeats`` makes the shards
 and merges across them by binary search.
@@ -96,7 +96,8 @@ def window_groups(kind: Kind, contexts: list[bytes], n: np.ndarray) -> np.ndarra
     stops = np.cumsum(length)
     starts = stops - length
     stop = np.repeat(stops, length)
-    order, _ = suffix_array(text, stop, kind.span)
+    # Sorted to the end of the contexts: Kasai's scan needs one order at every depth.
+    order, _ = suffix_array(text, stop, int(length.max()))
     common = common_prefixes(text, starts, n, stop, order, kind.span)
     row = np.repeat(np.arange(len(contexts)), n)
     window = starts[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
