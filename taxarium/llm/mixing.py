@@ -44,28 +44,40 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return s.select("_source", "source_size", "target", F.coalesce(F.col("target") / F.nullif(F.col("source_size"), F.lit(0)), F.lit(0.0)).alias("rate"), offset.alias("offset"))
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """The documents with size, source_size, target, copies: how often the mix holds each row.
-
-    Null texts have size 0, null sources form one source, null ids count as 0 in the order.
-    """
+def _ranked(docs: DataFrame) -> DataFrame:
+    """docs with __size, __source_size, __target, __copies."""
     source = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
-    bits = F.length(F.bin("size"))
+    bits = F.length(F.bin("__size"))
     spread = F.pmod(F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(1000003)) * 7919, F.lit(SPREAD))
-    rows = docs.withColumn("_source", source).withColumn("size", _size())
-    rows = rows.withColumn("_class", bits * 16 + F.expr("shiftright(size, cast(greatest(length(bin(size)) - 5, 0) as int)) & 15")).withColumn("_spread", spread)
+    rows = docs.withColumn("_source", source).withColumn("__size", _size())
+    rows = rows.withColumn("_class", bits * 16 + F.expr("shiftright(__size, cast(greatest(length(bin(__size)) - 5, 0) as int)) & 15")).withColumn("_spread", spread)
     cell = ["_source", "_class", "_spread"]
-    cells = rows.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("size"))
-    targets = source_targets(rows.select("_source", "size"))
+    cells = rows.groupBy(*cell).agg(F.count("*").alias("n"))
+    targets = source_targets(rows.select("_source", F.col("__size").alias("size")))
     earlier = Window.partitionBy("_source").orderBy("_class", "_spread").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n", "size")
     # The cells number at most classes x SPREAD a source, whatever the number of documents.
-    cells = cells.join(targets, "_source")
-    within = Window.partitionBy(*cell).orderBy("size", "doc_id")
-    ranked = rows.withColumn("_rank", F.row_number().over(within)).join(cells, cell)
-    last = (F.col("before") + F.col("_rank")).cast("double")
-    crossed = F.floor(F.col("offset") + F.col("rate") * last) - F.floor(F.col("offset") + F.col("rate") * (last - 1))
-    return ranked.withColumn("copies", crossed.cast("int")).select(*docs.columns, *(c for c in ("size", "source_size", "target", "copies") if c not in docs.columns))
+    cells = cells.withColumn("__before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    cells = cells.join(targets.toDF("_source", "__source_size", "__target", "__rate", "__offset"), "_source")
+    within = Window.partitionBy(*cell).orderBy("__size", "doc_id")
+    ranked = rows.withColumn("__rank", F.row_number().over(within)).join(cells, cell)
+    last = (F.col("__before") + F.col("__rank")).cast("double")
+    crossed = F.floor(F.col("__offset") + F.col("__rate") * last) - F.floor(F.col("__offset") + F.col("__rate") * (last - 1))
+    return ranked.withColumn("__copies", crossed.cast("int"))
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """The documents with size, source_size, target, copies: how often the mix holds each row.
+
+    Null texts have size 0, null sources form one source, null ids count as 0 in the order.
+    Columns of docs with these four names are replaced.
+    """
+    new = ("size", "source_size", "target", "copies")
+    return _ranked(docs).select(*(c for c in docs.columns if c not in new), *(F.col(f"__{c}").alias(c) for c in new))
+
+
+def mixed_rows(docs: DataFrame) -> DataFrame:
+    """The mix itself: each document once per copy, with the columns of docs."""
+    return _ranked(docs).filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)
 
 
 SQL = r"""

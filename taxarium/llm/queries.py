@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import SQL as decontaminate_sql
+from .licenses import SQL as licenses_sql
 from .mixing import SQL as mixing_sql
 
 
@@ -72,14 +74,28 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_of(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontaminate
+
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import licenses
+
+    return licenses.report(table(spark, sf_dir, "documents"), licenses.templates(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_gif": op2_gif,
+    "op3_decontaminate": op3_decontaminate,
     "op4_suffixtree": op4_suffixtree,
+    "op5_licenses": op5_licenses,
     "op6_suffixarray": op6_suffixarray,
     "op7_tokens": op7_tokens,
     "op8_mix": op8_mix,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
 }
-SQL: dict[str, str] = {"op8_mix": mixing_sql}
+SQL: dict[str, str] = {"op3_decontaminate": decontaminate_sql, "op5_licenses": licenses_sql, "op8_mix": mixing_sql}

@@ -237,12 +237,15 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     Columns are those of the input.
     """
+    spark = docs.sparkSession
     groups = near_duplicates(docs)
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), "fingerprint", F.lit(True).alias("_first")).distinct()
-    # One row of each first id: the least text among rows that share the id.
-    keyed = docs.withColumn("_id", id_key())
-    least = keyed.groupBy("_id").agg(F.min(F.xxhash64(F.coalesce("text", F.lit("")))).alias("_h"), F.count("*").alias("_n"))
-    kept = keyed.join(first.select("_id").distinct(), "_id", "left_semi").join(least, "_id")
-    single = kept.filter("_n = 1").select(docs.columns)
-    several = kept.filter((F.col("_n") > 1) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_h")))
-    return single.unionByName(several.dropDuplicates(["_id"]).select(docs.columns))
+    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__first")).distinct()
+    first = Scratch(spark, "first").save(first)
+    kept = docs.withColumn("__id", id_key()).join(first, F.col("__id") == F.col("__first"), "left_semi")
+    # Rows that share an id: the one of least text hash stays.
+    order = F.struct(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.monotonically_increasing_id().alias("i"))
+    if docs.select(id_key().alias("__id")).groupBy("__id").count().filter("count > 1").isEmpty():
+        return kept.select(docs.columns)
+    kept = Scratch(spark, "shared").save(kept.withColumn("__order", order))
+    least = kept.groupBy("__id").agg(F.min("__order").alias("__order"))
+    return kept.join(least, ["__id", "__order"], "left_semi").select(docs.columns)
