@@ -32,7 +32,7 @@ from .anchors import anchors, byte_units, word_units
 from .common import Scratch, id_key, map_rows, ship_package
 
 #: Contexts of a shard of a hot anchor, bytes of a shard's structure, ranges of the merge, rows of the copies that may be broadcast.
-HOT, SHARD_BYTES, RANGES, BROADCAST_ROWS = 512, 4 << 20, 1024, 200_000
+HOT, SHARD_BYTES, RANGES, BROADCAST_ROWS = 512, 1 << 20, 1024, 200_000
 
 
 @dataclass(frozen=True)
