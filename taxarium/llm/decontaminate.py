@@ -45,9 +45,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     flips = F.expr(f"filter(sequence(0L, {(1 << WIDTH) - 1}L), f -> bit_count(f) <= {RADIUS // BLOCKS})")
     index = items.select("item_id", "n", "item_fp", F.explode(blocks("item_fp")).alias("b")).select("item_id", "n", "item_fp", "b.block", F.col("b.value").alias("v0"))
     probe = windows.select("n", "fp", F.explode(blocks("fp")).alias("b")).select("n", "fp", "b.block", "b.value").distinct()
-    # An entry for each value within the block's share of the radius; both sides are joined by size, block and value.
+    # An entry for each value within the block's share of the radius.  The index grows with the
+    # benchmark by some ten thousand entries an item, which its small source hides from the
+    # planner, so it is shuffled, never broadcast.
     index = index.select("item_id", "n", "item_fp", "block", F.explode(F.transform(flips, lambda f: F.col("v0").bitwiseXOR(f))).alias("value"))
-    near = probe.join(index, ["n", "block", "value"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS).select("n", "fp", "item_id", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("hamming")).distinct()
+    near = probe.join(index.hint("merge"), ["n", "block", "value"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS).select("n", "fp", "item_id", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("hamming")).distinct()
     pairs = windows.join(near, ["n", "fp"]).join(items.select("item_id", "item_set"), "item_id")
     both = F.size(F.array_intersect("set", "item_set"))
     pairs = pairs.withColumn("similarity", both / (2 * F.size("item_set") - both)).filter(F.col("similarity") >= threshold)
