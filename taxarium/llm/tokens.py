@@ -237,7 +237,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = 0) -> D
         if doc_ids:
             yield part, before, size, write_container(doc_ids, [len(x) for x in held], np.concatenate(held))
 
-    ordered = docs.select(id_key().alias("doc_id"), "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(id_key().alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return scratch.save(map_rows(ordered, run, "part int, first_start long, n_ids long, data binary"))
 
 
