@@ -117,10 +117,10 @@ def train(samples: list[tuple[str, str]], rounds: int = 30, seed: int = 7) -> Mo
         lengths.append(size)
         at += take
     ids, gold, starts, lengths = (np.array(v, np.int64) for v in (ids, gold, starts, lengths))
-    rows = [features(w, lexicons) for w in number]
-    flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
+    rows = [np.array(features(w, lexicons), np.int32) for w in number]
+    flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
     edge = np.cumsum([0, *map(len, rows)])[:-1]
-    owner = np.repeat(np.arange(len(rows)), list(map(len, rows)))
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), list(map(len, rows)))
     n = len(langs)
     weights, steps = np.zeros((SLOTS + n, n)), np.zeros((n, n))
     seen_w, seen_s = np.full_like(weights, 1e-6), np.full_like(steps, 1e-6)
@@ -149,7 +149,7 @@ def held_out(name: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(name).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, per_lang: int = 150, most_langs: int = 64) -> Model:
+def fit(docs: DataFrame, per_lang: int = 100, most_langs: int = 64) -> Model:
     """A model of a bounded sample: about per_lang labelled documents, outside the held-out fifth, of each of the most_langs most frequent languages.
 
     Documents are chosen by a hash of their id, the same ones on every run.
