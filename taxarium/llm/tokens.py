@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark import TaskContext
@@ -26,7 +27,7 @@ WIDTHS = tuple(60 // n for n in COUNTS)
 BLOCK = 16_384
 MAGIC = b"TXS8"
 #: Ids of a container before it closes, and cached pieces of a Python worker.
-CONTAINER_IDS, CACHE = 1 << 18, 400_000
+CONTAINER_IDS, CACHE = 1 << 18, 700_000
 
 
 def pack(values: np.ndarray) -> np.ndarray:
@@ -124,9 +125,16 @@ def read_container(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, lengths, np.concatenate(parts) if parts else np.empty(0, np.uint64)
 
 
+#: Byte-level alphabet: printable Latin-1 stands for itself, the other bytes for code points from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
 class PieceEncoder:
     """Encodes texts with a byte-level BPE tokenizer of the tokenizers library, word by word with a bounded cache.
 
+    New plain words go to the tokenizer's model itself, other pieces through its whole pipeline.
+
     Byte-level pre-tokenization always cuts before a single blank that follows and precedes other
     characters than white space, so pieces cut there encode alone.  A text with any other blank
     that touches white space is encoded whole.
@@ -140,30 +148,63 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.reset()
 
     def reset(self) -> None:
         self.known: dict[str, int] = {}
         self.pool, self.used = np.empty(1 << 16, np.uint32), 0
-        self.starts, self.lengths = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.starts, self.lengths, self.again = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64), np.zeros(1 << 14, bool)
+
+    def _shrink(self) -> None:
+        """Forget pieces that no later text has used again; all, if that leaves over half of them."""
+        known, starts, lengths, again, pool = self.known, self.starts, self.lengths, self.again, self.pool
+        kept = [p for p, at in known.items() if at >= 0 and again[at]]
+        self.reset()
+        if kept and len(kept) <= CACHE // 2:
+            at = np.fromiter(map(known.__getitem__, kept), np.int64, len(kept))
+            self._add(kept, pool[_ranges(starts[at], lengths[at])], lengths[at])
 
     def _learn(self, pieces: list[str]) -> None:
         odd = [p for p in pieces if not p or p.isspace() or p[-1].isspace() or (p[1:2] if p[0] == " " else p[:1]).isspace()]
-        for p in odd:
-            self.known[p] = -1
-        skip = set(odd)
-        pieces = [p for p in pieces if p not in skip]
-        for piece, got in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            self._add(piece, got.ids)
-
-    def _add(self, piece: str, ids: list[int]) -> None:
-        at = len(self.known)
-        self.known[piece] = at
-        if at >= len(self.starts):
-            self.starts, self.lengths = (np.resize(a, 2 * max(at, len(a))) for a in (self.starts, self.lengths))
+        if odd:
+            self.known.update(dict.fromkeys(odd, -1))
+            skip = set(odd)
+            pieces = [p for p in pieces if p not in skip]
+        plain = [p for p in pieces if self._word(p)]
+        if plain:
+            skip = set(plain)
+            pieces = [p for p in pieces if p not in skip]
+            got = [self._model_ids(p) for p in plain]
+        else:
+            got = []
+        got += [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        pieces = plain + pieces
+        lengths = np.fromiter(map(len, got), np.int64, len(got))
+        self._add(pieces, np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())), lengths)
+
+    @staticmethod
+    def _word(piece: str) -> bool:
+        """A blank and Latin letters, perhaps with one mark: pre-tokens that need no splitting by pattern."""
+        body = piece[1:-1] if piece[-1] in ".," else piece[1:]
+        return piece[0] == " " and body.isalpha() and max(body) < "\u0250"
+
+    def _model_ids(self, piece: str) -> list[int]:
+        mark = piece[-1] if piece[-1] in ".," else ""
+        word = piece[: len(piece) - len(mark)].encode().decode("latin-1").translate(_BYTE_LEVEL)
+        ids = [t.id for t in self.model.tokenize(word)]
+        return ids + [t.id for t in self.model.tokenize(mark)] if mark else ids
+
+    def _add(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        at, stop = len(self.known), len(self.known) + len(pieces)
+        while stop > len(self.starts):
+            self.starts, self.lengths, self.again = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.lengths, self.again))
         while self.used + len(ids) > len(self.pool):
-            self.pool = np.resize(self.pool, 2 * len(self.pool))
-        self.starts[at], self.lengths[at] = self.used, len(ids)
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        self.known.update(zip(pieces, range(at, stop)))
+        self.lengths[at:stop] = lengths
+        self.starts[at:stop] = self.used + np.cumsum(lengths) - lengths
+        self.again[at:stop] = False
         self.pool[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
 
@@ -175,24 +216,30 @@ class PieceEncoder:
                 return np.empty(0, np.uint32)
             return self._whole(text)
         known = self.known
-        new = {p for p in pieces if p not in known}
-        if new:
-            if len(known) + len(new) > CACHE:
-                self.reset()
+        at = list(map(known.get, pieces))
+        seen = [i for i in at if i is not None and i >= 0]
+        self.again[seen] = True
+        if len(seen) < len(at):
+            if len(known) + len(pieces) > CACHE:
+                self._shrink()
                 known = self.known
-                new = set(pieces)
-            self._learn(sorted(new))
-        at = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+            self._learn(list({p for p in pieces if p not in known}))
+            at = list(map(known.__getitem__, pieces))
+        at = np.array(at, np.int64)
         if at.min() < 0:
             return self._whole(text)
-        lengths = self.lengths[at]
-        stops = np.cumsum(lengths)
-        return self.pool[np.arange(stops[-1]) + np.repeat(self.starts[at] - stops + lengths, lengths)]
+        return self.pool[_ranges(self.starts[at], self.lengths[at])]
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its length, one after the other."""
+    stops = np.cumsum(lengths)
+    return np.arange(stops[-1] if len(stops) else 0) + np.repeat(starts - stops + lengths, lengths)
+
+
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
