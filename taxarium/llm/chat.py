@@ -8,6 +8,7 @@ do not.  Every round is a table in the shared scratch folder.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,30 +42,36 @@ def reply_paths(spark: SparkSession, messages: DataFrame, top_k: int = 1) -> Dat
     """(tree, leaf, rank, node, depth): the top_k root-to-leaf paths of each tree, best total score first.
 
     A parent that is null or absent makes a root.  Messages on a parent cycle reach no root and
-    give no path.  Null scores count 0; ties go to the smaller leaf.  Message keys are unique
-    within a tree.
+    give no path; neither do messages without a tree or a node.  Null scores count 0; ties go to
+    the smaller leaf.  Message keys are unique within a tree.
+
+    Only messages that have not reached their root take part in a round, and only trees that hold
+    such messages are looked up in it, so short trees leave after few rounds.
     """
     scratch = Scratch(spark, "paths")
-    base = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
+    base = messages.filter("tree is not null and node is not null").select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
     known = base.select(F.col("tree").alias("_t"), F.col("node").alias("_n"))
-    jump = scratch.save(
-        base.join(known, (F.col("tree") == F.col("_t")) & (F.col("parent") == F.col("_n")), "left").select("tree", "node", F.col("_n").alias("anc"), F.col("score").alias("total"), F.lit(1).alias("hops"))
-    )
-    largest = jump.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
-    jumps = [jump]
-    for _ in range(math.ceil(math.log2(largest + 1)) if largest else 0):
-        if jumps[-1].filter("anc is not null").isEmpty():
+    state = scratch.save(
+        base.join(known, (F.col("tree") == F.col("_t")) & (F.col("parent") == F.col("_n")), "left")
+        .select("tree", "node", F.col("_n").alias("anc"), F.col("score").alias("total"), F.lit(1).alias("hops"), F.lit(True).alias("fresh"))
+    )
+    largest = state.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    done, jumps = [], []
+    for _ in range(1 + math.ceil(math.log2(largest + 1))):
+        done.append(state.filter("anc is null and fresh"))
+        active = state.filter("anc is not null")
+        if active.isEmpty():
             break
-        far = jumps[-1].select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("anc").alias("_anc"), F.col("total").alias("_total"), F.col("hops").alias("_hops"))
-        jumps.append(
-            scratch.save(
-                jumps[-1]
-                .join(far, (F.col("tree") == F.col("_t")) & (F.col("anc") == F.col("_n")), "left")
-                .select("tree", "node", F.col("_anc").alias("anc"), (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"), (F.col("hops") + F.coalesce("_hops", F.lit(0))).alias("hops"))
-            )
+        jumps.append(active)
+        looked_up = state.join(active.select("tree").distinct(), "tree", "left_semi")
+        far = looked_up.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("anc").alias("_anc"), F.col("total").alias("_total"), F.col("hops").alias("_hops"))
+        moved = active.join(far, (F.col("tree") == F.col("_t")) & (F.col("anc") == F.col("_n"))).select(
+            "tree", "node", F.col("_anc").alias("anc"), (F.col("total") + F.col("_total")).alias("total"), (F.col("hops") + F.col("_hops")).alias("hops"), F.lit(True).alias("fresh")
         )
-    parents = jumps[0].filter("anc is not null").select("tree", F.col("anc").alias("node")).distinct()
-    leaves = jumps[-1].filter("anc is null").join(parents, ["tree", "node"], "left_anti")
+        state = scratch.save(moved.unionByName(looked_up.filter("anc is null").withColumn("fresh", F.lit(False))))
+    leaves = reduce(DataFrame.unionByName, done)
+    if jumps:
+        leaves = leaves.join(jumps[0].select("tree", F.col("anc").alias("node")).distinct(), ["tree", "node"], "left_anti")
     best = F.struct(F.col("total"), -F.col("node"))
     if top_k == 1:
         ranked = leaves.groupBy("tree").agg(F.max_by(F.struct("node", "hops"), best).alias("leaf")).select("tree", F.col("leaf.node").alias("leaf"), F.lit(1).alias("rank"), F.col("leaf.hops").alias("hops"))
@@ -73,7 +80,7 @@ def reply_paths(spark: SparkSession, messages: DataFrame, top_k: int = 1) -> Dat
         ranked = leaves.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top_k).select("tree", F.col("node").alias("leaf"), "rank", "hops")
     path = ranked.select("tree", "leaf", "rank", F.col("leaf").alias("node"), (F.col("hops") - 1).alias("depth"))
     for k in reversed(range(len(jumps))):
-        step = jumps[k].filter("anc is not null").select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("anc").alias("_anc"))
+        step = jumps[k].select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.col("anc").alias("_anc"))
         path = scratch.save(path)
         up = path.join(step, (F.col("tree") == F.col("_t")) & (F.col("node") == F.col("_n"))).select("tree", "leaf", "rank", F.col("_anc").alias("node"), (F.col("depth") - 2**k).cast("int").alias("depth"))
         path = path.unionByName(up)
