@@ -14,9 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, id_back
-from .passages import hits, numbered, once, reference, window_shingles
+from .passages import document_key, hits, numbered, once, reference, shingles, text_words, window_shingles
 
 BANDS, THRESHOLD = 24, 0.8
+#: Template shingles and template lengths up to which they are part of the plan, so that no text is shuffled.
+PLAN_SHINGLES, PLAN_LENGTHS = 10_000, 50
 #: Notices to look for.
 NOTICES = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -42,6 +44,42 @@ def bands(sh: Column) -> Column:
     return once(sh, lambda s: F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), least(s, b).alias("value"))))
 
 
+def windows_in_place(docs: DataFrame, marks: list) -> DataFrame:
+    """_id, _x, start, n, k, sh of the windows that hold one of the marks (n, k, h), cut within each document's row."""
+    by_size: dict[int, dict[int, list[int]]] = {}
+    for r in marks:
+        by_size.setdefault(r["k"], {}).setdefault(r["n"], []).append(r["h"])
+    sizes = sorted(by_size)
+    rows = text_words(docs, *document_key()).select("_id", "_x", F.size("w").alias("m"), *(shingles("w", k).alias(f"s{k}") for k in sizes))
+    found = None
+    for k in sizes:
+        known = sorted({h for hs in by_size[k].values() for h in hs})
+        holds = F.exists(f"s{k}", lambda h: h.isin(known))
+        found = holds if found is None else found | holds
+    cuts = []
+    for k in sizes:
+        known = sorted({h for hs in by_size[k].values() for h in hs})
+        places = F.filter(F.transform(f"s{k}", lambda h, at: F.struct(h.alias("h"), at.alias("at"))), lambda p: p["h"].isin(known))
+        cuts.append(once(places, lambda ps: F.concat(*(_cut(ps, n, k, hs) for n, hs in sorted(by_size[k].items())))))
+    windows = rows.filter(found).select("_id", "_x", F.explode(F.concat(*cuts)).alias("v"))
+    return windows.select("_id", "_x", "v.start", "v.n", "v.k", "v.sh").filter(F.size("sh") > 0)
+
+
+def _cut(places: Column, n: int, k: int, hashes: list[int]) -> Column:
+    """The windows of 2n words, one each n words, that the places (h, at) with these hashes fall into."""
+    ats = F.transform(F.filter(places, lambda p: p["h"].isin(hashes)), lambda p: F.floor(p["at"] / n).cast("int"))
+    starts = F.filter(F.array_distinct(F.concat(ats, F.transform(ats, lambda i: i - 1))), lambda i: i >= 0)
+    length = lambda start: F.greatest(F.least(F.lit(2 * n), F.col("m") - start) - (k - 1), F.lit(0))
+    return F.transform(starts, lambda i: F.struct((i * n).alias("start"), F.lit(n).alias("n"), F.lit(k).alias("k"), F.slice(f"s{k}", i * n + 1, length(i * n)).alias("sh")))
+
+
+def windows_by_join(docs: DataFrame, ref: DataFrame, scratch: Scratch) -> DataFrame:
+    """The same windows for reference tables of any size: texts meet their windows in a shuffle."""
+    found = hits(docs, ref).withColumn("i", F.floor(F.col("at") / F.col("n")).cast("int"))
+    found = found.select("_id", "_x", "n", "k", F.explode(F.array(F.col("i"), F.col("i") - 1)).alias("i")).filter("i >= 0").distinct()
+    return window_shingles(docs, scratch.save(found.select("_id", "_x", (F.col("i") * F.col("n")).alias("start"), "n", "k", (2 * F.col("n")).alias("span"))))
+
+
 def scan(docs: DataFrame, table: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """_id, _x, template_id, start, n_words, containment: each document's best window for each template it holds.
 
@@ -49,9 +87,9 @@ def scan(docs: DataFrame, table: DataFrame, threshold: float = THRESHOLD) -> Dat
     """
     scratch = Scratch(docs.sparkSession, "licenses")
     ref = scratch.save(reference(table, "template_id"))
-    found = hits(docs, ref).withColumn("i", F.floor(F.col("at") / F.col("n")).cast("int"))
-    found = found.select("_id", "_x", "n", "k", F.explode(F.array(F.col("i"), F.col("i") - 1)).alias("i")).filter("i >= 0").distinct()
-    windows = window_shingles(docs, scratch.save(found.select("_id", "_x", (F.col("i") * F.col("n")).alias("start"), "n", "k", (2 * F.col("n")).alias("span"))))
+    marks = ref.select("n", "k", F.explode("sh").alias("h")).distinct().limit(PLAN_SHINGLES + 1).collect()
+    small = len(marks) <= PLAN_SHINGLES and len({(r["n"], r["k"]) for r in marks}) <= PLAN_LENGTHS
+    windows = windows_in_place(docs, marks) if small and marks else windows_by_join(docs, ref, scratch)
     windows = scratch.save(windows)
     index = ref.select("template_id", "n", F.explode(bands(F.col("sh"))).alias("b")).select("template_id", "n", "b.band", "b.value")
     probe = windows.select("_id", "_x", "start", "n", F.explode(bands(F.col("sh"))).alias("b")).select("_id", "_x", "start", "n", "b.band", "b.value")
