@@ -10,9 +10,10 @@ counts (u64), m first words (u64), m id counts (u32), the words (u64).
 
 from __future__ import annotations
 
+import re
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark import TaskContext
@@ -130,14 +131,23 @@ _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+def _byte_level(text: str) -> str:
+    return text.encode().decode("latin-1").translate(_BYTE_LEVEL)
+
+
+
+#: A blank or line break, Latin letters, ASCII marks but the apostrophe: pre-tokens that need no splitting by pattern.
+_PLAIN = re.compile("([ \\n]?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
 class PieceEncoder:
-    """Encodes texts with a byte-level BPE tokenizer of the tokenizers library, word by word with a bounded cache.
+    """Encodes texts with a byte-level BPE tokenizer of the tokenizers library, piece by piece with a bounded cache.
 
-    New plain words go to the tokenizer's model itself, other pieces through its whole pipeline.
+    New plain pieces go to the tokenizer's model itself, others through its whole pipeline.
 
-    Byte-level pre-tokenization always cuts before a single blank that follows and precedes other
-    characters than white space, so pieces cut there encode alone.  A text with any other blank
-    that touches white space is encoded whole.
+    Byte-level pre-tokenization always cuts before a single blank or line break that follows and
+    precedes other characters than white space, so pieces cut there encode alone.  A text with any
+    other blank that touches white space is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -149,6 +159,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.tails: dict[str, list[int]] = {"": []}
         self.reset()
 
     def reset(self) -> None:
@@ -165,35 +176,35 @@ class PieceEncoder:
             at = np.fromiter(map(known.__getitem__, kept), np.int64, len(kept))
             self._add(kept, pool[_ranges(starts[at], lengths[at])], lengths[at])
 
-    def _learn(self, pieces: list[str]) -> None:
-        odd = [p for p in pieces if not p or p.isspace() or p[-1].isspace() or (p[1:2] if p[0] == " " else p[:1]).isspace()]
-        if odd:
-            self.known.update(dict.fromkeys(odd, -1))
-            skip = set(odd)
-            pieces = [p for p in pieces if p not in skip]
-        plain = [p for p in pieces if self._word(p)]
-        if plain:
-            skip = set(plain)
-            pieces = [p for p in pieces if p not in skip]
-            got = [self._model_ids(p) for p in plain]
-        else:
-            got = []
-        got += [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        pieces = plain + pieces
+    def _learn(self, pieces: Iterable[str]) -> None:
+        plain, got, rest = [], [], []
+        for p in pieces:
+            if match := _PLAIN.fullmatch(p):
+                plain.append(p)
+                got.append(self._model_ids(*match.groups()))
+            elif not p or p.isspace() or p[-1].isspace() or (p[1:2] if p[0] in " \n" else p[:1]).isspace():
+                self.known[p] = -1
+            else:
+                rest.append(p)
+        if rest:
+            got += [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
         lengths = np.fromiter(map(len, got), np.int64, len(got))
-        self._add(pieces, np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())), lengths)
-
-    @staticmethod
-    def _word(piece: str) -> bool:
-        """A blank and Latin letters, perhaps with one mark: pre-tokens that need no splitting by pattern."""
-        body = piece[1:-1] if piece[-1] in ".," else piece[1:]
-        return piece[0] == " " and body.isalpha() and max(body) < "\u0250"
+        self._add(plain + rest, np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())), lengths)
 
-    def _model_ids(self, piece: str) -> list[int]:
-        mark = piece[-1] if piece[-1] in ".," else ""
-        word = piece[: len(piece) - len(mark)].encode().decode("latin-1").translate(_BYTE_LEVEL)
+    def _model_ids(self, before: str, letters: str, marks: str) -> list[int]:
+        word = " " + letters if before == " " else letters
+        word = word.replace(" ", "\u0120") if word.isascii() else _byte_level(word)
         ids = [t.id for t in self.model.tokenize(word)]
-        return ids + [t.id for t in self.model.tokenize(mark)] if mark else ids
+        if before == "\n":
+            ids = self._tail(before) + ids
+        return ids + self._tail(marks) if marks else ids
+
+    def _tail(self, marks: str) -> list[int]:
+        if marks not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails.clear()
+            self.tails[marks] = [t.id for t in self.model.tokenize(_byte_level(marks))]
+        return self.tails[marks]
 
     def _add(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         at, stop = len(self.known), len(self.known) + len(pieces)
@@ -209,23 +220,21 @@ class PieceEncoder:
         self.used += len(ids)
 
     def encode(self, text: str) -> np.ndarray:
-        first, *rest = text.split(" ")
-        pieces = [first, *[" " + p for p in rest]]
-        if first == "":
-            if not rest:
-                return np.empty(0, np.uint32)
+        if not text:
+            return np.empty(0, np.uint32)
+        if text[0] == " " or "\0" in text:
             return self._whole(text)
-        known = self.known
-        at = list(map(known.get, pieces))
-        seen = [i for i in at if i is not None and i >= 0]
-        self.again[seen] = True
-        if len(seen) < len(at):
-            if len(known) + len(pieces) > CACHE:
+        pieces = text.replace(" ", "\0 ").replace("\n", "\0\n").replace("\0\n\0\n", "\n\n").split("\0")
+        at = np.fromiter(map(self.known.get, pieces, repeat(-2)), np.int64, len(pieces))
+        self.again[at[at >= 0]] = True
+        new = np.flatnonzero(at == -2)
+        if len(new):
+            fresh = [pieces[i] for i in new.tolist()]
+            if len(self.known) + len(fresh) > CACHE:
                 self._shrink()
-                known = self.known
-            self._learn(list({p for p in pieces if p not in known}))
-            at = list(map(known.__getitem__, pieces))
-        at = np.array(at, np.int64)
+                new, fresh = np.arange(len(pieces)), pieces
+            self._learn(p for p in dict.fromkeys(fresh) if p not in self.known)
+            at[new] = np.fromiter(map(self.known.__getitem__, fresh), np.int64, len(fresh))
         if at.min() < 0:
             return self._whole(text)
         return self.pool[_ranges(self.starts[at], self.lengths[at])]
@@ -272,8 +281,10 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = 0) -> D
         held: list[np.ndarray] = []
         size = 0
         end = np.array([end_id], np.uint32)
+        last = ids = None
         for doc_id, text in rows:
-            ids = np.append(own.encode((text or b"").decode()), end)
+            if ids is None or text != last:  # copies of a mixed document follow each other
+                last, ids = text, np.append(own.encode((text or b"").decode()), end)
             doc_ids.append(doc_id)
             held.append(ids)
             size += len(ids)
