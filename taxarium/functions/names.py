@@ -69,3 +69,24 @@ def genome_category(text: Column) -> Column:
 
 def reverse_complement(c: Column) -> Column:
     return F.reverse(F.translate(c, "ACGT", "TGCA"))
+
+
+#: Fixed values: (phrase looked for in lower case, word of the reason), in order of precedence.
+LAX_PHRASES = (
+    (" bacterium", "bacterium"), (" archaeon", "archaeon"), (" archeaon", "archeaon"), ("-like", "-like"), (" group ", "group"), (" symbiont", "symbiont"), (" endosymbiont", "endosymbiont"),
+    (" taxon", "taxon"), (" cluster", "cluster"), (" of ", "of"),
+)
+
+
+def species_validity_lax(c: Column, full: bool = True, prefixed: bool = True) -> Column:
+    """null for an acceptable species label, else the first failing rule of the shorter ladder."""
+    test = F.regexp_replace(c, "^s__", "")
+    low = F.lower(test)
+    ladder = F.when(c == "s__", None)
+    if prefixed:
+        ladder = ladder.when(~c.startswith("s__"), "missing the species prefix")
+    if full:
+        ladder = ladder.when(F.size(F.split(test, " ")) <= F.when(low.contains("candidatus"), 2).otherwise(1), "missing the generic name")
+    for phrase, reason in LAX_PHRASES:
+        ladder = ladder.when(low.contains(phrase), reason)
+    return ladder.when(test.rlike(r"^\p{Ll}"), "lower-case genus").when(low.contains("sp."), "sp.")

@@ -80,3 +80,28 @@ def outer_tables(tables: list[DataFrame], key: str) -> DataFrame:
 def expand_if_shared(ids_: Column, more: Column) -> Column:
     """The union of both sets if they share an id, else the first."""
     return F.when(F.arrays_overlap(ids_, more), F.array_sort(F.array_union(ids_, more))).otherwise(ids_)
+
+
+def folder_status(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """key and sorted statuses of genome folders in both tables (key, kind, name, hash).
+
+    A fasta file on one side only: incomplete.  Another hash of one: modified.  Else unmodified, with
+    new_protein, new_metadata or new_cds_rna where a new file of that kind is not the old one.
+    """
+    both = old.select(key).distinct().join(new.select(key).distinct(), key)
+    files = old.select(key, "kind", "name", F.col("hash").alias("_a")).join(new.select(key, "kind", "name", F.col("hash").alias("_b")), [key, "kind", "name"], "full_outer")
+    fasta, changed = F.col("kind") == "fasta", F.col("_b").isNotNull() & ~F.col("_a").eqNullSafe(F.col("_b"))
+    seen = lambda condition: F.coalesce(F.bool_or(condition), F.lit(False))
+    facts = files.groupBy(key).agg(
+        seen(fasta & (F.col("_a").isNull() | F.col("_b").isNull())).alias("_i"), seen(fasta & changed).alias("_m"),
+        *(seen((F.col("kind") == kind) & changed).alias(name) for kind, name in (("protein", "new_protein"), ("other", "new_metadata"), ("extra_fasta", "new_cds_rna"))),
+    )
+    extra = F.array_compact(F.array(F.lit("unmodified"), *(F.when(F.col(n), n) for n in ("new_protein", "new_metadata", "new_cds_rna"))))
+    status = F.when(F.col("_i"), F.array(F.lit("incomplete"))).when(F.col("_m"), F.array(F.lit("modified"))).otherwise(F.array_sort(extra))
+    return facts.join(both, key, "left_semi").select(key, status.alias("status"))
+
+
+def candidate_lookup(rows: DataFrame, key: str, candidates: str, known: DataFrame, name: str, value: str) -> DataFrame:
+    """key, value of the first candidate name (in array order) that is known; rows without any give none."""
+    tried = rows.select(key, F.posexplode(candidates).alias("_i", name))
+    return tried.join(known.select(name, value), name).groupBy(key).agg(F.min_by(value, F.struct("_i", value)).alias(value))

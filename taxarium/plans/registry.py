@@ -338,3 +338,48 @@ def status_worklist(spark, d):
 def representatives(spark, d):
     c = _t(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderkey").alias("rep"))
     return _t(spark, d, "orders").select("o_orderkey", "o_custkey").join(c, "o_custkey").select("o_orderkey", "rep", (F.col("o_orderkey") == F.col("rep")).alias("is_rep"))
+
+
+@query("""WITH n AS (SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 's__' WHEN p_partkey % 7 = 1 THEN p_name WHEN p_partkey % 7 = 2 THEN 's__' || split_part(p_name, ' ', 1) WHEN p_partkey % 7 = 3 THEN 's__Aa taxon ' || p_name WHEN p_partkey % 7 = 4 THEN 's__Aa sp. ' || p_brand WHEN p_partkey % 7 = 5 THEN 's__aa bb' ELSE 's__Candidatus Aa bb' END AS name FROM part)
+SELECT p_partkey, CASE WHEN name = 's__' THEN NULL WHEN NOT starts_with(name, 's__') THEN 'missing the species prefix' WHEN len(string_split(name, ' ')) <= CASE WHEN contains(lower(name), 'candidatus') THEN 2 ELSE 1 END THEN 'missing the generic name'
+WHEN contains(lower(name), ' taxon') THEN 'taxon' WHEN contains(lower(name), ' of ') THEN 'of' WHEN regexp_matches(substr(name, 4), '^[a-z]') THEN 'lower-case genus' WHEN contains(lower(name), 'sp.') THEN 'sp.' END AS reason FROM n""")
+def species_validity_lax(spark, d):
+    k, name = F.col("p_partkey") % 7, F.col("p_name")
+    label = F.when(k == 0, "s__").when(k == 1, name).when(k == 2, F.concat(F.lit("s__"), F.substring_index(name, " ", 1))).when(k == 3, F.concat(F.lit("s__Aa taxon "), name))
+    label = label.when(k == 4, F.concat(F.lit("s__Aa sp. "), "p_brand")).when(k == 5, "s__aa bb").otherwise("s__Candidatus Aa bb")
+    return _t(spark, d, "part").select("p_partkey", names.species_validity_lax(label).alias("reason"))
+
+
+_FILES = "SELECT DISTINCT l_orderkey AS gid, CASE l_linenumber % 4 WHEN 0 THEN 'extra_fasta' WHEN 1 THEN 'fasta' WHEN 2 THEN 'protein' ELSE 'other' END AS kind, CAST(l_linenumber AS VARCHAR) AS name, max(CAST(l_partkey AS VARCHAR)) OVER (PARTITION BY l_orderkey, l_linenumber) AS hash FROM lineitem"
+
+
+@query(f"""WITH f AS ({_FILES}), a AS (SELECT * FROM f WHERE gid % 13 <> 0), b AS (SELECT gid, kind, name, CASE WHEN (gid + CAST(name AS INT)) % 9 = 0 THEN 'changed' ELSE hash END AS hash FROM f WHERE (gid + 2 * CAST(name AS INT)) % 11 <> 0),
+k AS (SELECT gid FROM a INTERSECT SELECT gid FROM b), j AS (SELECT gid, kind, a.hash AS x, b.hash AS y FROM a FULL JOIN b USING (gid, kind, name)),
+s AS (SELECT gid, bool_or(kind = 'fasta' AND (x IS NULL OR y IS NULL)) AS i, bool_or(kind = 'fasta' AND y IS NOT NULL AND x IS DISTINCT FROM y) AS m, bool_or(kind = 'protein' AND y IS NOT NULL AND x IS DISTINCT FROM y) AS p,
+bool_or(kind = 'other' AND y IS NOT NULL AND x IS DISTINCT FROM y) AS o, bool_or(kind = 'extra_fasta' AND y IS NOT NULL AND x IS DISTINCT FROM y) AS e FROM j WHERE gid IN (SELECT gid FROM k) GROUP BY 1)
+SELECT gid, CASE WHEN i THEN 'incomplete' WHEN m THEN 'modified' ELSE concat_ws(';', CASE WHEN e THEN 'new_cds_rna' END, CASE WHEN o THEN 'new_metadata' END, CASE WHEN p THEN 'new_protein' END, 'unmodified') END AS status FROM s""")
+def folder_status(spark, d):
+    n = F.col("l_linenumber") % 4
+    kind = F.when(n == 0, "extra_fasta").when(n == 1, "fasta").when(n == 2, "protein").otherwise("other")
+    f = _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("gid"), kind.alias("kind"), F.col("l_linenumber").cast("string").alias("name")).agg(F.max(F.col("l_partkey").cast("string")).alias("hash"))
+    number = F.col("name").cast("int")
+    new = f.filter((F.col("gid") + 2 * number) % 11 != 0).withColumn("hash", F.when((F.col("gid") + number) % 9 == 0, "changed").otherwise(F.col("hash")))
+    return compare.folder_status(f.filter("gid % 13 <> 0"), new, "gid").select("gid", F.concat_ws(";", "status").alias("status"))
+
+
+@query("SELECT c_custkey, CASE WHEN a.s IS NOT NULL THEN a.s ELSE b.s END AS s_suppkey FROM customer LEFT JOIN (SELECT s_nationkey AS k, min(s_suppkey) AS s FROM supplier WHERE s_suppkey % 3 = 0 GROUP BY 1) a ON a.k = c_nationkey LEFT JOIN (SELECT s_nationkey AS k, min(s_suppkey) AS s FROM supplier WHERE s_suppkey % 3 = 0 GROUP BY 1) b ON b.k = (c_nationkey + 1) % 25 WHERE coalesce(a.s, b.s) IS NOT NULL")
+def candidate_lookup(spark, d):
+    known = _t(spark, d, "supplier").filter("s_suppkey % 3 = 0").select(F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("name"), "s_suppkey")
+    tried = F.array(*(F.concat(F.lit("n"), n.cast("string")) for n in (F.col("c_nationkey"), (F.col("c_nationkey") + 1) % 25)))
+    return compare.candidate_lookup(_t(spark, d, "customer").select("c_custkey", tried.alias("names")), "c_custkey", "names", known, "name", "s_suppkey")
+
+
+@query(f"SELECT split_part(lineage, ';', 3) AS taxon, count(DISTINCT split_part(lineage, ';', 2)) AS n_parents FROM ({_LINEAGE}) GROUP BY 1 HAVING count(DISTINCT split_part(lineage, ';', 2)) > 1")
+def duplicate_taxa(spark, d):
+    pairs = _lineages(spark, d).select(F.get("taxa", F.lit(2)).alias("taxon"), F.get("taxa", F.lit(1)).alias("parent"))
+    return lineage.several_parents(pairs, "taxon", "parent")
+
+
+@query("SELECT p_brand, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, p_brand LIMIT 5")
+def most_common_names(spark, d):
+    return _t(spark, d, "part").groupBy("p_brand").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "p_brand").limit(5)
