@@ -76,7 +76,7 @@ def translation_table(lines: DataFrame) -> DataFrame:
 def line_categories(lines: DataFrame, key: str) -> DataFrame:
     """key, category of genomes from flat-file lines: metagenome before single cell before environment; others give no row."""
     line = F.col("line")
-    meta = line.contains("/metagenome_source") | line.rlike("derived from(\\w|\\s)*metagenome")
+    meta = line.contains("/metagenome_source") | line.rlike("(?i)derived from(\\w|\\s)*metagenome")
     kind = F.when(line.contains("metagenome"), F.when(meta, 1)).when(line.contains("single cell"), 2).when(line.contains("/environmental_sample") | line.contains("derived from environmental source"), 3)
     names = F.create_map(*(F.lit(x) for x in (1, "derived from metagenome", 2, "derived from single cell", 3, "derived from environmental sample")))
     return lines.select(key, kind.alias("kind")).filter("kind is not null").groupBy(key).agg(F.min("kind").alias("kind")).select(key, names[F.col("kind")].alias("category"))
