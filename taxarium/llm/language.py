@@ -232,28 +232,16 @@ class Tagger:
         return out
 
 
-_TAGGERS: dict[bytes, Tagger] = {}
-
-
-def tagger(key: bytes, model: Model) -> Tagger:
-    """The tagger of this Python worker for a model; its cache outlives a task."""
-    if key not in _TAGGERS:
-        _TAGGERS.clear()
-        _TAGGERS[key] = Tagger(model)
-    return _TAGGERS[key]
-
-
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """docs with lang_pred and score.  Only ``text`` is read; null texts and texts without letters are ``und``, score 0."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in ("lang_pred", "score")) + ", lang_pred string, score double"
     docs = docs.drop("lang_pred", "score")
     out_schema = _arrow_schema(docs.sparkSession, schema)
     place = docs.columns.index("text")
-    key = zlib.crc32(model.weights.tobytes()).to_bytes(4, "little") + repr(model.langs).encode()
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tagger(key, model)
+        own = Tagger(model)  # its cache ends with the task: later stages reuse the Python workers
         for whole in batches:
             for low in range(0, whole.num_rows, 1024):
                 batch = whole.slice(low, 1024)
