@@ -4,7 +4,8 @@ Windows as long as a benchmark item get a 64-bit SimHash of their shingles.  A m
 the items' fingerprints holds every block value within RADIUS // BLOCKS flipped bits, so by the
 pigeonhole principle each fingerprint within RADIUS bits shares an entry; weighted Jaccard
 similarity of shingle counts then verifies candidates exactly.  Windows without a shingle of any
-item have similarity zero and get no fingerprint.
+item have similarity zero and get no fingerprint.  A window that would overhang its document is
+moved inside it; a document shorter than the item is one window.
 """
 
 from __future__ import annotations
@@ -39,9 +40,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     """
     scratch = Scratch(docs.sparkSession, "leaks")
     items = scratch.save(reference(benchmark, "item_id").select("item_id", "n", "k", simhash(F.col("sh")).alias("item_fp"), numbered(F.col("sh")).alias("item_set"), "sh"))
-    found = hits(docs, items.select("n", "k", "sh")).select("_id", "_x", (F.col("at") - F.col("off")).alias("start"), "n", "k", F.col("n").alias("span")).filter("start >= 0").distinct()
-    windows = window_shingles(docs, scratch.save(found)).filter(F.size("sh") == F.col("n") - F.col("k") + 1)
-    windows = scratch.save(windows.select("_id", "_x", "start", "n", simhash(F.col("sh")).alias("fp"), numbered(F.col("sh")).alias("set")))
+    start = F.greatest(F.least(F.col("at") - F.col("off"), F.col("m") - F.col("n")), F.lit(0))
+    found = hits(docs, items.select("n", "k", "sh")).select("_id", "_x", start.alias("start"), "n", "k", F.least("n", "m").alias("span")).distinct()
+    windows = window_shingles(docs, scratch.save(found))
+    windows = scratch.save(windows.select("_id", "_x", "start", "n", "span", simhash(F.col("sh")).alias("fp"), numbered(F.col("sh")).alias("set")))
     flips = F.expr(f"filter(sequence(0L, {(1 << WIDTH) - 1}L), f -> bit_count(f) <= {RADIUS // BLOCKS})")
     index = items.select("item_id", "n", "item_fp", F.explode(blocks("item_fp")).alias("b")).select("item_id", "n", "item_fp", "b.block", F.col("b.value").alias("v0"))
     probe = windows.select("n", "fp", F.explode(blocks("fp")).alias("b")).select("n", "fp", "b.block", "b.value").distinct()
@@ -52,9 +54,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     near = probe.join(index.hint("merge"), ["n", "block", "value"]).filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS).select("n", "fp", "item_id", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("hamming")).distinct()
     pairs = windows.join(near, ["n", "fp"]).join(items.select("item_id", "item_set"), "item_id")
     both = F.size(F.array_intersect("set", "item_set"))
-    pairs = pairs.withColumn("similarity", both / (2 * F.size("item_set") - both)).filter(F.col("similarity") >= threshold)
-    best = pairs.groupBy("_id", "_x", "item_id").agg(F.max_by(F.struct("start", "n", "similarity", "hamming"), F.struct("similarity", -F.col("start"))).alias("b"))
-    return best.select("_id", "_x", "item_id", "b.start", F.col("b.n").alias("n_words"), "b.similarity", "b.hamming")
+    pairs = pairs.withColumn("similarity", both / (F.size("set") + F.size("item_set") - both)).filter(F.col("similarity") >= threshold)
+    best = pairs.groupBy("_id", "_x", "item_id").agg(F.max_by(F.struct("start", "span", "similarity", "hamming"), F.struct("similarity", -F.col("start"))).alias("b"))
+    return best.select("_id", "_x", "item_id", "b.start", F.col("b.span").alias("n_words"), "b.similarity", "b.hamming")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

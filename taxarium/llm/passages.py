@@ -54,18 +54,18 @@ def document_key() -> list[Column]:
 
 
 def hits(docs: DataFrame, ref: DataFrame) -> DataFrame:
-    """_id, _x, at, n, k, off: places of documents with a reference shingle, and its offset in texts of n words."""
+    """_id, _x, m, at, n, k, off: places of documents of m words with a reference shingle, and its offset in texts of n words."""
     marks = ref.select("n", "k", F.posexplode("sh").alias("off", "h")).distinct()
     small = marks.count() <= BROADCAST_ROWS
     sizes = sorted(r["k"] for r in ref.select("k").distinct().collect())  # one to SHINGLE at most
     tokens = text_words(docs, *document_key())
     out = None
     for k in sizes:
-        here = tokens.select("_id", "_x", shingles("w", k).alias("sh")).select("_id", "_x", F.posexplode("sh").alias("at", "h"))
+        here = tokens.select("_id", "_x", F.size("w").alias("m"), shingles("w", k).alias("sh")).select("_id", "_x", "m", F.posexplode("sh").alias("at", "h"))
         own = marks.filter(F.col("k") == k)
         found = here.join(F.broadcast(own) if small else own, "h").drop("h")
         out = found if out is None else out.unionByName(found)
-    return out if out is not None else docs.sparkSession.createDataFrame([], "_id long, _x long, at int, n int, k int, off int")
+    return out if out is not None else docs.sparkSession.createDataFrame([], "_id long, _x long, m int, at int, n int, k int, off int")
 
 
 def window_shingles(docs: DataFrame, windows: DataFrame) -> DataFrame:

@@ -182,3 +182,26 @@ def test_reply_tree(spark):
     assert [tuple(t) for t in got[2]] == [("user", "hi ### x"), ("assistant", "")]
     control = {r["conv_id"]: r for r in op1_chat(spark, SF).collect()}[-7]
     assert (control["n_turns"], control["loss_chars"]) == (2, len("\\### Assistant: </turn> ok"))
+
+
+def test_decontamination_at_the_edges(spark):
+    words = [f"w{i}" for i in range(60)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    fill = [f"f{i}" for i in range(80)]
+    texts = {
+        1: words[1:], 2: words[:-1], 3: words[:30] + words[31:], 4: fill + words[:-1], 5: words[1:] + fill, 6: fill + words[:-3], 7: words[3:] + fill, 8: fill[:40] + words + fill[40:],
+        9: words[:40], 10: fill + words[:40], 11: fill, 12: words[:1],
+    }
+
+    def similarity(w):
+        grams = lambda x: {tuple(x[i : i + 5]) for i in range(len(x) - 4)}
+        item, at = grams(words), range(max(1, len(w) - 59))
+        return max(len(item & grams(w[i : i + 60])) / len(item | grams(w[i : i + 60])) for i in at)
+
+    want = {d: similarity(w) for d, w in texts.items() if similarity(w) >= 0.8}
+    assert set(want) == {1, 2, 3, 4, 5, 6, 7, 8}
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.report(docs, bench).collect()}
+    assert {d: r["similarity"] for d, r in got.items()} == pytest.approx(want)
+    assert (got[1]["start_word"], got[1]["n_words"]) == (0, 59) and (got[4]["start_word"], got[4]["n_words"]) == (79, 60)
+    assert {r["doc_id"] for r in decontaminate.without_leaks(docs, bench).collect()} == set(texts) - set(want)
