@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from taxarium.llm import decontaminate, language, mixing, simhash, tokens
+from taxarium.llm import decontaminate, language, mixing, neardup, tokens
 from taxarium.llm.common import Scratch
 from taxarium.llm.queries import table
 
@@ -19,8 +19,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id stays of each group of near duplicates."""
-    return simhash.keep_first(docs)
+    """The document of smallest id stays of each group that five-word Jaccard similarities of 0.8 or more connect."""
+    return neardup.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

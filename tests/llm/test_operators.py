@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from taxarium.llm import chat, decontaminate, gif, language, licenses, mixing, simhash, suffixarray, suffixtree, tokens
+import corpus_pipeline
+from taxarium.llm import chat, decontaminate, gif, language, licenses, mixing, neardup, simhash, suffixarray, suffixtree, tokens
 from taxarium.llm.queries import op1_chat
 
 SF = "/root/testdata/sf0.001"
@@ -205,3 +206,38 @@ def test_decontamination_at_the_edges(spark):
     assert {d: r["similarity"] for d, r in got.items()} == pytest.approx(want)
     assert (got[1]["start_word"], got[1]["n_words"]) == (0, 59) and (got[4]["start_word"], got[4]["n_words"]) == (79, 60)
     assert {r["doc_id"] for r in decontaminate.without_leaks(docs, bench).collect()} == set(texts) - set(want)
+
+
+def test_near_duplicates_by_jaccard(spark):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(400)]
+    line, texts = " ".join(vocabulary[:12]), []
+    for i in range(25):
+        w = rng.choices(vocabulary, k=rng.choice([40, 90, 150]))
+        texts += [" ".join(w), " ".join(w).upper() + "\n"]
+        for edits in (1, 1, 2, 3, 4):
+            for _ in range(edits if i % 2 else 1):
+                w = [*w]
+                w[rng.randrange(len(w))] = rng.choice(vocabulary)
+            texts.append(" ".join(w))
+        texts.append(f"{line} " + " ".join(rng.choices(vocabulary, k=20)))
+    texts += [None, "", " ", "a b", "A b", "a b c", line, line]
+    rng.shuffle(texts)
+    grams = []
+    for t in texts:
+        w = (t or "").lower().split()
+        grams.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    label, near = list(range(len(texts))), lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    edges = [(i, j) for i in label for j in range(i) if near(grams[i], grams[j])]
+    for _ in texts:
+        for i, j in edges:
+            label[i] = label[j] = min(label[i], label[j])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = neardup.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(label))
+    far = [(i, j) for i, j in edges if (brute_fingerprint(texts[i]) ^ brute_fingerprint(texts[j])).bit_count() > 3]
+    assert far and {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()} == set(label)
+    assert neardup.keep_first(docs.limit(0)).count() == 0
+    shared = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (1, "d e f"), (None, "g h i"), (None, "D e F")], "doc_id long, text string")
+    assert sorted(r["text"] for r in neardup.keep_first(shared).collect()) == ["D e F", "a b c", "g h i"]
