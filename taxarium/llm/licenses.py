@@ -1,11 +1,10 @@
-"""License scans: MinHash bands over overlapping text windows, then exact containment; DataFrame operations only.
+"""License scans: template shingles looked up in overlapping text windows, then exact containment; DataFrame operations only.
 
 A window holds twice as many words as a template and one starts every template length, so each
-occurrence lies whole in a window.  A window of 2n words has at most 2n - 4 shingles, so a template
-of n - 4 shingles that it holds to THRESHOLD has a Jaccard similarity of about 0.3 at least.  With
-BANDS bands of one row, the chance that no band agrees is below 0.7 ** 24, about 2 in 10,000.
-Exact shingle containment decides.  Windows without a template shingle contain nothing and get no
-signature.
+occurrence lies whole in a window.  A window that holds a template to THRESHOLD lacks at most
+t - ceil(THRESHOLD * t) of its t shingles, so it holds one of any t - ceil(THRESHOLD * t) + 1 of
+them: these are the keys that templates and windows meet by, and no occurrence is lost.  (MinHash
+bands lost notices of few shingles in windows of other text.)  Exact shingle containment decides.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, id_back
 from .passages import document_key, hits, numbered, once, reference, shingles, text_words, window_shingles
 
-BANDS, THRESHOLD = 24, 0.8
+THRESHOLD = 0.8
 #: Template shingles and template lengths up to which they are part of the plan, so that no text is shuffled.
 PLAN_SHINGLES, PLAN_LENGTHS = 10_000, 50
 #: Notices to look for.
@@ -38,10 +37,10 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(NOTICES), "template_id string, text string")
 
 
-def bands(sh: Column) -> Column:
-    """Array of (band, least hash) of a set of shingles."""
-    least = lambda s, b: F.array_min(F.transform(s, lambda h: F.xxhash64(h, b)))
-    return once(sh, lambda s: F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), least(s, b).alias("value"))))
+def keys(sh: Column, threshold: float) -> Column:
+    """The first t - ceil(threshold * t) + 1 of t shingles."""
+    # Rounding of the product may only add a key.
+    return once(sh, lambda s: F.slice(s, F.lit(1), F.size(s) - F.ceil(F.size(s) * threshold - 1e-6).cast("int") + 1))
 
 
 def windows_in_place(docs: DataFrame, marks: list) -> DataFrame:
@@ -91,9 +90,9 @@ def scan(docs: DataFrame, table: DataFrame, threshold: float = THRESHOLD) -> Dat
     small = len(marks) <= PLAN_SHINGLES and len({(r["n"], r["k"]) for r in marks}) <= PLAN_LENGTHS
     windows = windows_in_place(docs, marks) if small and marks else windows_by_join(docs, ref, scratch)
     windows = scratch.save(windows)
-    index = ref.select("template_id", "n", F.explode(bands(F.col("sh"))).alias("b")).select("template_id", "n", "b.band", "b.value")
-    probe = windows.select("_id", "_x", "start", "n", F.explode(bands(F.col("sh"))).alias("b")).select("_id", "_x", "start", "n", "b.band", "b.value")
-    pairs = probe.join(index, ["n", "band", "value"]).select("_id", "_x", "start", "n", "template_id").distinct()
+    index = ref.select("template_id", "n", F.explode(F.array_distinct(keys(F.col("sh"), threshold))).alias("h"))
+    probe = windows.select("_id", "_x", "start", "n", F.explode(F.array_distinct("sh")).alias("h"))
+    pairs = probe.join(index, ["n", "h"]).select("_id", "_x", "start", "n", "template_id").distinct()
     whole = ref.select("template_id", numbered(F.col("sh")).alias("t"))
     checked = pairs.join(windows.select("_id", "_x", "start", "n", numbered(F.col("sh")).alias("s")), ["_id", "_x", "start", "n"]).join(whole, "template_id")
     checked = checked.withColumn("containment", F.size(F.array_intersect("t", "s")) / F.size("t")).filter(F.col("containment") >= threshold)

@@ -241,3 +241,12 @@ def test_near_duplicates_by_jaccard(spark):
     assert neardup.keep_first(docs.limit(0)).count() == 0
     shared = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (1, "d e f"), (None, "g h i"), (None, "D e F")], "doc_id long, text string")
     assert sorted(r["text"] for r in neardup.keep_first(shared).collect()) == ["D e F", "a b c", "g h i"]
+
+
+def test_short_notices_within_other_text(spark):
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    notice = dict(licenses.NOTICES)["mit"]
+    texts = [(i, " ".join([*(word() for _ in range(12)), notice, *(word() for _ in range(12))])) for i in range(800)]
+    got = licenses.report(spark.createDataFrame(texts, "doc_id long, text string"), licenses.templates(spark)).collect()
+    assert sorted((r["doc_id"], r["template_id"], r["start_word"], r["containment"]) for r in got) == [(i, "mit", 10, 1.0) for i in range(800)]
