@@ -250,3 +250,11 @@ def test_short_notices_within_other_text(spark):
     texts = [(i, " ".join([*(word() for _ in range(12)), notice, *(word() for _ in range(12))])) for i in range(800)]
     got = licenses.report(spark.createDataFrame(texts, "doc_id long, text string"), licenses.templates(spark)).collect()
     assert sorted((r["doc_id"], r["template_id"], r["start_word"], r["containment"]) for r in got) == [(i, "mit", 10, 1.0) for i in range(800)]
+
+
+def test_license_windows_by_join(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(100).unionByName(spark.createDataFrame([(-1, f"a b c d {licenses.NOTICES[4][1]} e"), (-2, f"x {licenses.NOTICES[1][1]}"), (-3, None)], "doc_id long, text string"), allowMissingColumns=True)
+    rows = lambda: sorted(map(tuple, licenses.report(docs, licenses.templates(spark)).collect()))
+    in_place = rows()
+    monkeypatch.setattr(licenses, "PLAN_SHINGLES", 0)
+    assert {r[0] for r in in_place} >= {-1, -2} and rows() == in_place
