@@ -27,8 +27,8 @@ COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = tuple(60 // n for n in COUNTS)
 BLOCK = 16_384
 MAGIC = b"TXS8"
-#: Ids of a container before it closes, and cached pieces of a Python worker.
-CONTAINER_IDS, CACHE = 1 << 18, 700_000
+#: Ids of a container before it closes, cached pieces of a Python worker (a power of two), text bytes encoded at once.
+CONTAINER_IDS, CACHE, BATCH_BYTES = 1 << 18, 1 << 20, 1 << 18
 
 
 def pack(values: np.ndarray) -> np.ndarray:
@@ -135,22 +135,27 @@ def _byte_level(text: str) -> str:
     return text.encode().decode("latin-1").translate(_BYTE_LEVEL)
 
 
-
 #: A blank or line break, Latin letters, ASCII marks but the apostrophe: pre-tokens that need no splitting by pattern.
 _PLAIN = re.compile("([ \\n]?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Masks that keep the first 0 to 8 bytes of a little-endian word.
+_KEEP = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+#: Bytes of a piece that the table holds; longer pieces are looked up in a dictionary.
+_SHORT = 16
 
 
 class PieceEncoder:
     """Encodes texts with a byte-level BPE tokenizer of the tokenizers library, piece by piece with a bounded cache.
 
-    New plain pieces go to the tokenizer's model itself, others through its whole pipeline.
-
-    Byte-level pre-tokenization always cuts before a single blank or line break that follows and
-    precedes other characters than white space, so pieces cut there encode alone.  A text with any
-    other blank that touches white space is encoded whole.
+    Byte-level pre-tokenization always cuts before a run of ASCII white space, and before the last
+    character of a run that other text follows, so pieces cut there encode alone.  Pieces of up to
+    16 bytes are found by their bytes in an open-addressing table, all of a batch at once; the
+    tokenizer sees each new piece once.  New plain pieces go to its model itself, others through
+    its whole pipeline.  A text with a zero byte, or with other white space beside a cut, is
+    encoded whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int = 0):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -159,37 +164,78 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.end_id = end_id
         self.tails: dict[str, list[int]] = {"": []}
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[str, int] = {}
-        self.pool, self.used = np.empty(1 << 16, np.uint32), 0
-        self.starts, self.lengths, self.again = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64), np.zeros(1 << 14, bool)
-
-    def _shrink(self) -> None:
-        """Forget pieces that no later text has used again; all, if that leaves over half of them."""
-        known, starts, lengths, again, pool = self.known, self.starts, self.lengths, self.again, self.pool
-        kept = [p for p, at in known.items() if at >= 0 and again[at]]
-        self.reset()
-        if kept and len(kept) <= CACHE // 2:
-            at = np.fromiter(map(known.__getitem__, kept), np.int64, len(kept))
-            self._add(kept, pool[_ranges(starts[at], lengths[at])], lengths[at])
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        plain, got, rest = [], [], []
-        for p in pieces:
+        """Only the end of a text is known: the zero byte, with the end id."""
+        self.slots = np.full(4 * CACHE, -1, np.int32)
+        self.low, self.high = np.zeros(CACHE, np.uint64), np.zeros(CACHE, np.uint64)
+        self.starts, self.lengths = np.zeros(CACHE, np.int32), np.zeros(CACHE, np.int32)
+        self.whole = np.zeros(CACHE, bool)
+        self.pool = np.empty(1 << 16, np.uint32)
+        self.pool[0], self.used, self.size, self.lengths[0] = self.end_id, 1, 1, 1
+        self.long: dict[bytes, int] = {}
+        self._place(np.zeros(1, np.int64))
+
+    def _slot(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        x = low * np.uint64(0x9E3779B97F4A7C15) + high * np.uint64(0xC2B2AE3D27D4EB4F)
+        x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        return (x >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
+
+    def _place(self, entries: np.ndarray) -> None:
+        at = self._slot(self.low[entries], self.high[entries])
+        while len(entries):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = entries[free]
+            left = self.slots[at] != entries
+            entries, at = entries[left], at[left] + 1 & len(self.slots) - 1
+
+    def _find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Entries of short pieces; -1 where unknown."""
+        at = self._slot(low, high)
+        found = self.slots[at]
+        open_ = np.flatnonzero((found >= 0) & ((self.low[found] != low) | (self.high[found] != high)))
+        while len(open_):
+            at[open_] = at[open_] + 1 & len(self.slots) - 1
+            here = self.slots[at[open_]]
+            found[open_] = here
+            open_ = open_[(here >= 0) & ((self.low[here] != low[open_]) | (self.high[here] != high[open_]))]
+        return found
+
+    def _learn(self, pieces: list[bytes]) -> list[int]:
+        """Entries of new pieces."""
+        plain, got, rest, sick = [], [], [], []
+        for raw in pieces:
+            p = raw.decode()
             if match := _PLAIN.fullmatch(p):
-                plain.append(p)
+                plain.append(raw)
                 got.append(self._model_ids(*match.groups()))
-            elif not p or p.isspace() or p[-1].isspace() or (p[1:2] if p[0] in " \n" else p[:1]).isspace():
-                self.known[p] = -1
+            elif not raw.isspace() and (p[-1].isspace() or p[raw[:1].isspace()].isspace()):
+                sick.append(raw)
             else:
-                rest.append(p)
+                rest.append(raw)
         if rest:
-            got += [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        self._add(plain + rest, np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum())), lengths)
+            got += [e.ids for e in self.tokenizer.encode_batch_fast([r.decode() for r in rest], add_special_tokens=False)]
+        order = plain + rest + sick
+        lengths = np.fromiter(chain(map(len, got), repeat(0, len(sick))), np.int64, len(order))
+        ids = np.fromiter(chain.from_iterable(got), np.uint32, int(lengths.sum()))
+        new = np.arange(self.size, self.size + len(order))
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.starts[new] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[new] = lengths
+        self.whole[new[len(order) - len(sick) :]] = True
+        self.used, self.size = self.used + len(ids), self.size + len(order)
+        short = np.fromiter((len(r) <= _SHORT for r in order), bool, len(order))
+        words = np.frombuffer(b"".join(r.ljust(_SHORT, b"\0") for r in order if len(r) <= _SHORT), "<u8").reshape(-1, 2)
+        self.low[new[short]], self.high[new[short]] = words[:, 0], words[:, 1]
+        self._place(new[short])
+        self.long.update((r, i) for r, i in zip(order, new.tolist()) if len(r) > _SHORT)
+        entry = dict(zip(order, new.tolist()))
+        return [entry[r] for r in pieces]
 
     def _model_ids(self, before: str, letters: str, marks: str) -> list[int]:
         word = " " + letters if before == " " else letters
@@ -206,41 +252,71 @@ class PieceEncoder:
             self.tails[marks] = [t.id for t in self.model.tokenize(_byte_level(marks))]
         return self.tails[marks]
 
-    def _add(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        at, stop = len(self.known), len(self.known) + len(pieces)
-        while stop > len(self.starts):
-            self.starts, self.lengths, self.again = (np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.lengths, self.again))
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-        self.known.update(zip(pieces, range(at, stop)))
-        self.lengths[at:stop] = lengths
-        self.starts[at:stop] = self.used + np.cumsum(lengths) - lengths
-        self.again[at:stop] = False
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-
-    def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.uint32)
-        if text[0] == " " or "\0" in text:
-            return self._whole(text)
-        pieces = text.replace(" ", "\0 ").replace("\n", "\0\n").replace("\0\n\0\n", "\n\n").split("\0")
-        at = np.fromiter(map(self.known.get, pieces, repeat(-2)), np.int64, len(pieces))
-        self.again[at[at >= 0]] = True
-        new = np.flatnonzero(at == -2)
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, each with the end id, and their numbers."""
+        alone = [i for i, t in enumerate(texts) if b"\0" in t]
+        joined = b"\0".join(b"" if b"\0" in t else t for t in texts) + bytes(1 + _SHORT)
+        raw = np.frombuffer(joined, np.uint8)
+        body = raw[:-_SHORT]
+        blank, end = _BLANK[body], body == 0
+        after = np.r_[True, end[:-1]]
+        before = np.r_[False, blank[:-1]]
+        cut = after | end | blank & ~before
+        cut[:-1] |= blank[:-1] & before[:-1] & ~blank[1:] & ~end[1:]
+        at = np.flatnonzero(cut)
+        size = np.diff(np.r_[at, len(body)])
+        words = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+        low = words[at] & _KEEP[np.minimum(size, 8)]
+        high = words[at + 8] & _KEEP[np.clip(size - 8, 0, 8)]
+        entry = self._find(low, high)
+        entry[size > _SHORT] = -1
+        new = np.flatnonzero(entry < 0)
         if len(new):
-            fresh = [pieces[i] for i in new.tolist()]
-            if len(self.known) + len(fresh) > CACHE:
-                self._shrink()
-                new, fresh = np.arange(len(pieces)), pieces
-            self._learn(p for p in dict.fromkeys(fresh) if p not in self.known)
-            at[new] = np.fromiter(map(self.known.__getitem__, fresh), np.int64, len(fresh))
-        if at.min() < 0:
-            return self._whole(text)
-        return self.pool[_ranges(self.starts[at], self.lengths[at])]
-
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            pieces = [joined[i : i + n] for i, n in zip(at[new].tolist(), size[new].tolist())]
+            fresh = [p for p in dict.fromkeys(pieces) if p not in self.long]
+            if self.size + len(fresh) > CACHE:
+                if len(at) >= CACHE:
+                    return self._one_by_one(texts)
+                self.reset()
+                return self.encode(texts)
+            known = dict(zip(fresh, self._learn(fresh)))
+            entry[new] = [known[p] if p in known else self.long[p] for p in pieces]
+        lengths = self.lengths[entry]
+        ids = self.pool[_ranges(self.starts[entry].astype(np.int64), lengths.astype(np.int64))]
+        ends = np.flatnonzero(end)
+        first = np.searchsorted(at, ends, side="right")
+        counts = np.diff(np.r_[0, np.cumsum(lengths, dtype=np.int64)[first - 1]])
+        sick = np.flatnonzero(self.whole[entry])
+        if len(sick) or alone:
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            for i in {*alone, *np.searchsorted(ends, at[sick]).tolist()}:
+                parts[i] = self._whole(texts[i])
+            ids, counts = np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+        return ids, counts
+
+    def _one_by_one(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """For batches of more new pieces than the cache may hold."""
+        parts = [self._whole(t) for t in texts]
+        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+
+    def _whole(self, text: bytes) -> np.ndarray:
+        return np.array([*self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, self.end_id], np.uint32)
+
+    def encode_long(self, text: bytes) -> np.ndarray:
+        """The ids of one text with the end id, in stretches of about BATCH_BYTES cut before a lone blank."""
+        parts, low = [], 0
+        while low < len(text):
+            high = len(text)
+            if high - low > 2 * BATCH_BYTES:
+                lone = _LONE.search(text, low + BATCH_BYTES)
+                high = lone.start() + 1 if lone else high
+            parts.append(self.encode([text[low:high]])[0][:-1])
+            low = high
+        return np.concatenate([*parts, np.array([self.end_id], np.uint32)])
+
+
+#: A blank between ASCII characters that are not white space: a cut of every pre-tokenization.
+_LONE = re.compile(rb"[!-~](?= [!-~])")
 
 
 def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -249,14 +325,14 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(stops[-1] if len(stops) else 0) + np.repeat(starts - stops + lengths, lengths)
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple[str, int], PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
-    """The encoder of this Python worker; its cache outlives a task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, end_id: int) -> PieceEncoder:
+    """The encoder of this Python worker; its cache, some 70 MB at most, outlives a task."""
+    if (path, end_id) not in _ENCODERS:
+        _ENCODERS[path, end_id] = PieceEncoder(path, end_id)
+    return _ENCODERS[path, end_id]
 
 
 def tokenizer_path() -> str:
@@ -265,6 +341,29 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _batches(rows: Iterator[tuple]) -> Iterator[tuple[list[int], list[bytes], list[int]]]:
+    """Document ids, different texts, and the text of each document, by about BATCH_BYTES; a longer text comes alone.
+
+    Repeats of a text that follow each other, as in a mix, are one text.
+    """
+    ids: list[int] = []
+    texts: list[bytes] = []
+    copies: list[int] = []
+    size = 0
+    for doc_id, text in rows:
+        text = text or b""
+        if not texts or text != texts[-1]:
+            if texts and size + len(text) > BATCH_BYTES:
+                yield ids, texts, copies
+                ids, texts, copies, size = [], [], [], 0
+            texts.append(text)
+            size += len(text)
+        ids.append(doc_id)
+        copies.append(len(texts) - 1)
+    if texts:
+        yield ids, texts, copies
+
+
 def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = 0) -> DataFrame:
     """The written containers in ascending doc_id order: part, first_start (ids of the part before it), n_ids, data.
 
@@ -275,25 +374,26 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = 0) -> D
     scratch = Scratch(docs.sparkSession, "tokens")
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        own = encoder(path)
+        own = encoder(path, end_id)
         part, before = TaskContext.get().partitionId(), 0
         doc_ids: list[int] = []
         held: list[np.ndarray] = []
+        lengths: list[int] = []
         size = 0
-        end = np.array([end_id], np.uint32)
-        last = ids = None
-        for doc_id, text in rows:
-            if ids is None or text != last:  # copies of a mixed document follow each other
-                last, ids = text, np.append(own.encode((text or b"").decode()), end)
-            doc_ids.append(doc_id)
-            held.append(ids)
-            size += len(ids)
-            if size >= CONTAINER_IDS:
-                yield part, before, size, write_container(doc_ids, [len(x) for x in held], np.concatenate(held))
-                before += size
-                doc_ids, held, size = [], [], 0
+        for ids_of, texts, copies in _batches(rows):
+            ids, counts = (own.encode_long(texts[0]), None) if len(texts) == 1 and len(texts[0]) > BATCH_BYTES else own.encode(texts)
+            parts = [ids] if counts is None else np.split(ids, np.cumsum(counts)[:-1])
+            for doc_id, copy in zip(ids_of, copies):
+                doc_ids.append(doc_id)
+                held.append(parts[copy])
+                lengths.append(len(parts[copy]))
+                size += lengths[-1]
+                if size >= CONTAINER_IDS:
+                    yield part, before, size, write_container(doc_ids, lengths, np.concatenate(held))
+                    before += size
+                    doc_ids, held, lengths, size = [], [], [], 0
         if doc_ids:
-            yield part, before, size, write_container(doc_ids, [len(x) for x in held], np.concatenate(held))
+            yield part, before, size, write_container(doc_ids, lengths, np.concatenate(held))
 
     ordered = docs.select(id_key().alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return scratch.save(map_rows(ordered, run, "part int, first_start long, n_ids long, data binary"))
