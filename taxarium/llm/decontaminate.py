@@ -3,9 +3,14 @@
 Windows as long as a benchmark item get a 64-bit SimHash of their shingles.  A multi-index over
 the items' fingerprints holds every block value within RADIUS // BLOCKS flipped bits, so by the
 pigeonhole principle each fingerprint within RADIUS bits shares an entry; weighted Jaccard
-similarity of shingle counts then verifies candidates exactly.  Windows without a shingle of any
-item have similarity zero and get no fingerprint.  A window that would overhang its document is
-moved inside it; a document shorter than the item is one window.
+similarity of shingle counts then verifies candidates exactly.
+
+Every window of a document counts, wherever it starts; a document shorter than the item is one
+window.  A window of similarity 0.8 holds eight ninths of the item's shingles (see ``needed``), so
+windows with fewer shingles of items of that length get no fingerprint, and of the others those that begin
+with such a shingle, and the last of the document, suffice: moving any other window on by a word
+only adds shingles.  At a similarity of 0.8 two fingerprints differ in 10 bits of 64, with a
+deviation of 3; windows beyond RADIUS are lost.
 """
 
 from __future__ import annotations
@@ -13,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_back
-from .passages import document_key, hits, numbered, once, reference, window_shingles
+from .common import Scratch, id_back, packed
+from .passages import document_key, marked_places, numbered, once, reference, window_shingles
 
 RADIUS, BLOCKS, THRESHOLD = 19, 4, 0.8
 WIDTH = 64 // BLOCKS
@@ -33,17 +38,34 @@ def blocks(fp: str) -> Column:
     return F.array(*(F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(fp, WIDTH * i).bitwiseAND((1 << WIDTH) - 1).alias("value")) for i in range(BLOCKS)))
 
 
+def needed(a: Column, b: Column, threshold: float) -> Column:
+    """The shingles that sets of a and b shingles share at least at that Jaccard similarity."""
+    # Rounding may only ask for less.
+    return F.ceil((a + b) * threshold / (1 + threshold) - 1e-6).cast("int")
+
+
+def starts(p: Column, threshold: float) -> Column:
+    """Where the windows of n words begin that hold enough of the places p of a document of m words, one at least for each best window."""
+    n, m, k = F.col("n"), F.col("m"), F.col("k")
+    least = needed(n - k + 1, n - k + 1, threshold)
+    begins = lambda p: F.transform(F.filter(F.sequence(F.lit(0), F.size(p) - least), lambda i: F.get(p, i + least - 1) - F.get(p, i) <= n - k), lambda i: F.least(F.get(p, i), m - n))
+    whole = F.when(F.size(p) >= needed(m - k + 1, n - k + 1, threshold), F.array(F.lit(0)))
+    return F.when(m <= n, whole).when(F.size(p) >= least, F.array_distinct(once(p, begins)))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """_id, _x, item_id, start, n_words, similarity, hamming: each document's best window for each item it repeats.
 
-    Among equally similar windows the first counts.  Null texts and texts without words match nothing.
+    Among equally similar windows the last counts.  Null texts and texts without words match
+    nothing; repeated rows (one id, one text) give one result; very long texts are word lists of
+    their row; an empty table on either side gives no result.
     """
     scratch = Scratch(docs.sparkSession, "leaks")
     items = scratch.save(reference(benchmark, "item_id").select("item_id", "n", "k", simhash(F.col("sh")).alias("item_fp"), numbered(F.col("sh")).alias("item_set"), "sh"))
-    start = F.greatest(F.least(F.col("at") - F.col("off"), F.col("m") - F.col("n")), F.lit(0))
-    found = hits(docs, items.select("n", "k", "sh")).select("_id", "_x", start.alias("start"), "n", "k", F.least("n", "m").alias("span")).distinct()
+    found = marked_places(docs, items.select("n", "k", "sh")).select("_id", "_x", F.explode(starts(F.col("p"), threshold)).alias("start"), "n", "k", F.least("n", "m").alias("span"))
     windows = window_shingles(docs, scratch.save(found))
     windows = scratch.save(windows.select("_id", "_x", "start", "n", "span", simhash(F.col("sh")).alias("fp"), numbered(F.col("sh")).alias("set")))
+    items = items.repartition("item_id")  # each becomes some ten thousand entries
     flips = F.expr(f"filter(sequence(0L, {(1 << WIDTH) - 1}L), f -> bit_count(f) <= {RADIUS // BLOCKS})")
     index = items.select("item_id", "n", "item_fp", F.explode(blocks("item_fp")).alias("b")).select("item_id", "n", "item_fp", "b.block", F.col("b.value").alias("v0"))
     probe = windows.select("n", "fp", F.explode(blocks("fp")).alias("b")).select("n", "fp", "b.block", "b.value").distinct()
@@ -55,33 +77,38 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -
     pairs = windows.join(near, ["n", "fp"]).join(items.select("item_id", "item_set"), "item_id")
     both = F.size(F.array_intersect("set", "item_set"))
     pairs = pairs.withColumn("similarity", both / (F.size("set") + F.size("item_set") - both)).filter(F.col("similarity") >= threshold)
-    best = pairs.groupBy("_id", "_x", "item_id").agg(F.max_by(F.struct("start", "span", "similarity", "hamming"), F.struct("similarity", -F.col("start"))).alias("b"))
-    return best.select("_id", "_x", "item_id", "b.start", F.col("b.span").alias("n_words"), "b.similarity", "b.hamming")
+    best = pairs.groupBy("_id", "_x", "item_id").agg(F.max_by(F.struct("start", "span", "similarity", "hamming"), F.struct("similarity", "start")).alias("b"))
+    best = scratch.save(best.select("_id", "_x", "item_id", "b.start", F.col("b.span").alias("n_words"), "b.similarity", "b.hamming"))
+    scratch.keep_only(best)
+    return best
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that repeat no benchmark item; columns as in the input."""
-    found = Scratch(docs.sparkSession, "found").save(leaks(docs, benchmark).select(F.col("_id").alias("__id"), F.col("_x").alias("__x")).distinct())
-    id_, x = document_key()
-    keyed = docs.withColumn("__i", id_).withColumn("__t", x)
-    return keyed.join(found, (F.col("__i") == F.col("__id")) & (F.col("__t") == F.col("__x")), "left_anti").select(docs.columns)
+    """The documents that repeat no benchmark item; columns as in the input, whatever their names.
+
+    Null texts stay, repeated rows go or stay together, an empty table gives an empty one.
+    """
+    found = leaks(docs, benchmark).select("_id", "_x").distinct()
+    return packed(docs, *document_key()).join(found, ["_id", "_x"], "left_anti").select("row.*")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return leaks(docs, benchmark).select(id_back("_id").alias("doc_id"), "item_id", F.col("start").cast("long").alias("start_word"), F.col("n_words").cast("long").alias("n_words"), "similarity")
 
 
+#: All windows of all documents that share a shingle with an item, wherever they start (others have similarity zero).
 SQL = r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM documents),
-iw AS (SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
-ds AS (SELECT doc_id, len(w) AS m, unnest(range(0, len(w) - 4)) AS p, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM dw WHERE len(w) >= 5),
-i AS (SELECT item_id, len(w) AS n, unnest(range(0, len(w) - 4)) AS o, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM iw WHERE len(w) >= 5),
-hit AS (SELECT ds.doc_id, ds.m, p - o AS st, n FROM ds JOIN i USING (s)),
-win AS (SELECT DISTINCT doc_id, st, n FROM hit WHERE st >= 0 AND st + n <= m),
-wc AS (SELECT win.doc_id, st, n, s, count(*) AS c FROM win JOIN ds ON ds.doc_id = win.doc_id AND p BETWEEN st AND st + n - 5 GROUP BY ALL),
-ic AS (SELECT item_id, n, s, count(*) AS c FROM i GROUP BY ALL),
-sim AS (SELECT doc_id, st, wc.n, item_id, sum(least(wc.c, ic.c)) AS k FROM wc JOIN ic ON wc.s = ic.s AND wc.n = ic.n GROUP BY ALL),
-r AS (SELECT doc_id, item_id, st, n, CAST(k AS DOUBLE) / CAST(2 * (n - 4) - k AS DOUBLE) AS sim FROM sim)
-SELECT doc_id, item_id, CAST(st AS BIGINT) AS start_word, CAST(n AS BIGINT) AS n_words, sim AS similarity
-FROM r WHERE sim >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY sim DESC, st) = 1
+iw AS (SELECT item_id, w, len(w) AS n, least(len(w), 5) AS k FROM (SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM benchmark WHERE item_id IS NOT NULL) WHERE len(w) > 0),
+ks AS (SELECT DISTINCT k FROM iw),
+ds AS (SELECT doc_id, len(w) AS m, k, unnest(range(0, len(w) - k + 1)) AS p, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS s FROM dw, ks WHERE len(w) >= k),
+i AS (SELECT item_id, n, k, unnest(list_transform(range(1, n - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS s FROM iw),
+ic AS (SELECT item_id, n, k, s, count(*) AS c FROM i GROUP BY ALL),
+hit AS (SELECT doc_id, m, item_id, n, k, p, s, c FROM ds JOIN ic USING (k, s)),
+win AS (SELECT *, unnest(range(greatest(0, least(p, greatest(m - n, 0)) - (least(n, m) - k)), least(p, greatest(m - n, 0)) + 1)) AS st FROM hit),
+wc AS (SELECT doc_id, m, item_id, n, k, st, s, least(count(*), max(c)) AS shared FROM win WHERE p BETWEEN st AND st + least(n, m) - k GROUP BY ALL),
+sim AS (SELECT doc_id, m, item_id, n, k, st, sum(shared) AS shared FROM wc GROUP BY ALL),
+r AS (SELECT doc_id, item_id, st, least(n, m) AS span, CAST(shared AS DOUBLE) / CAST(n - k + 1 + least(n, m) - k + 1 - shared AS DOUBLE) AS sim FROM sim)
+SELECT doc_id, item_id, CAST(st AS BIGINT) AS start_word, CAST(span AS BIGINT) AS n_words, sim AS similarity
+FROM r WHERE sim >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY sim DESC, st DESC) = 1
 """

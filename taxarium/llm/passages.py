@@ -68,10 +68,36 @@ def hits(docs: DataFrame, ref: DataFrame) -> DataFrame:
     return out if out is not None else docs.sparkSession.createDataFrame([], "_id long, _x long, m int, at int, n int, k int, off int")
 
 
+def marked_places(docs: DataFrame, ref: DataFrame) -> DataFrame:
+    """_id, _x, m, n, k, p: for documents of m words, the ascending places of shingles that some text of n words holds.
+
+    The list is as long as the document at most.
+    """
+    marks = ref.select("n", "k", F.explode("sh").alias("h")).distinct()
+    small = marks.count() <= BROADCAST_ROWS
+    sizes = sorted(r["k"] for r in ref.select("k").distinct().collect())  # one to SHINGLE at most
+    tokens = text_words(docs, *document_key())
+    out = None
+    for k in sizes:
+        here = tokens.select("_id", "_x", F.size("w").alias("m"), shingles("w", k).alias("sh")).select("_id", "_x", "m", F.posexplode("sh").alias("at", "h"))
+        own = marks.filter(F.col("k") == k)
+        found = here.join(F.broadcast(own) if small else own, "h").drop("h")
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return docs.sparkSession.createDataFrame([], "_id long, _x long, m int, n int, k int, p array<int>")
+    return out.groupBy("_id", "_x", "m", "n", "k").agg(F.array_sort(F.collect_set("at")).alias("p"))
+
+
 def window_shingles(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """windows (_id, _x, start, n, k, span) that lie in their document, with ``sh``: hashes of the shingles of words start to start + span."""
+    """windows (_id, _x, start, n, k, span) that lie in their document, with ``sh``: hashes of the shingles of words start to start + span.
+
+    Only texts of documents with windows are shuffled; their keys are broadcast up to BROADCAST_ROWS.
+    """
     lists = windows.groupBy("_id", "_x").agg(F.collect_set(F.struct("start", "n", "k", "span")).alias("v"))
-    rows = text_words(docs, *document_key()).dropDuplicates(["_id", "_x"]).join(lists, ["_id", "_x"])
+    held = windows.select("_id", "_x").distinct()
+    small = held.count() <= BROADCAST_ROWS
+    rows = docs.select(*document_key(), "text").join(F.broadcast(held) if small else held, ["_id", "_x"], "left_semi").dropDuplicates(["_id", "_x"])
+    rows = text_words(rows, F.col("_id"), F.col("_x")).join(lists, ["_id", "_x"])
     used = F.transform("v", lambda v: v["k"])
     hashed = rows.select("_id", "_x", "v", F.size("w").alias("m"), *(F.when(F.array_contains(used, k), shingles("w", k)).alias(f"s{k}") for k in range(1, SHINGLE + 1)))
     one = hashed.select("*", F.explode("v").alias("x")).select("_id", "_x", "m", "x.*", *(f"s{k}" for k in range(1, SHINGLE + 1)))
