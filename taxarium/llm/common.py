@@ -1,9 +1,7 @@
-"""Small helpers shared by the operators: scratch tables, Arrow row mapping, word rules."""
+"""Small helpers shared by the operators: Arrow row mapping, word rules, keys."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -11,51 +9,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch, scratch_root  # noqa: F401
+
 #: ASCII white space; everything else belongs to a word.
 SPACE = r"[\x20\x09-\x0D]+"
 #: Stands for a null id inside an operator; it sorts before every real id.
 NULL_ID = -(2**63)
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the session names in spark.checkpoint.dir; a temporary one only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="taxarium-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-#: Shuffle files of a written table go when it is written.
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-class Scratch:
-    """Written tables in the shared folder.  They cut lineage and survive lost executors."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.base = f"{scratch_root(spark)}/taxarium-{name}-{uuid.uuid4().hex}"
-        self.count = 0
-
-    def save(self, df: DataFrame) -> DataFrame:
-        self.count += 1
-        path = f"{self.base}/{self.count:03d}"
-        held = self.spark.conf.get(_CLEAN, None)
-        self.spark.conf.set(_CLEAN, "true")
-        try:
-            df.write.parquet(path)
-        finally:
-            self.spark.conf.set(_CLEAN, held) if held is not None else self.spark.conf.unset(_CLEAN)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out.scratch_path = path
-        return out
-
-    def drop(self, df: DataFrame) -> None:
-        """Delete a table that no later step reads."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """All columns of docs as one struct ``row``, so that no name of theirs can clash; ``row.*`` gives them back."""
+    return docs.select(F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in docs.columns)).alias("row"), *more)
 
 
 def whole_text(name: str = "text") -> Column:
@@ -94,14 +58,18 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], sc
 
         held: list[tuple] = []
         size = 0
-        for row in fn(rows()):
-            held.append(row)
-            size += 64 + sum(len(v) for v in row if isinstance(v, (bytes, str)))
-            if size >= flush_bytes or len(held) >= 8192:
+        try:
+            for row in fn(rows()):
+                held.append(row)
+                size += 64 + sum(len(v) for v in row if isinstance(v, (bytes, str)))
+                if size >= flush_bytes or len(held) >= 8192:
+                    yield to_batch(held)
+                    held, size = [], 0
+            if held:
                 yield to_batch(held)
-                held, size = [], 0
-        if held:
-            yield to_batch(held)
+        finally:
+            held.clear()
+            give_back()
 
     def to_batch(held: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*held), out_schema)], schema=out_schema)
@@ -109,13 +77,33 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], sc
     return df.mapInArrow(run, schema)
 
 
+#: Rows and bytes of an Arrow batch, where the session has Spark's defaults: rows here are whole texts.
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4194304b")}
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver found it, besides what they have."""
+    """Let Python workers find this package where the driver found it, and send them small batches."""
+    for name, (default, ours) in _BATCHES.items():
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, ours)
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(filter(None, [env.get("PYTHONPATH", ""), root]))
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: Python workers wait for later stages."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string

@@ -9,7 +9,6 @@ language has the largest mean probability over its words.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,12 +17,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
-from .common import _arrow_schema, ship_package
+from .common import give_back, map_rows, packed, ship_package
 
 UNDETERMINED = "und"
-#: Hashed weights, lexicon words per language, longest chain, words scored at once, cached words of a Python worker.
-SLOTS, LEXICON, CHAIN, BATCH_WORDS, CACHE = 1 << 16, 300, 512, 250_000, 500_000
+#: Hashed weights, lexicon words per language, words of a training chain that joins lines, words scored at once, cached words of a Python worker.
+SLOTS, LEXICON, JOINED, BATCH_WORDS, CACHE = 1 << 16, 300, 512, 100_000, 300_000
+#: Words of a chain that one pass takes; the messages of longer chains pass from piece to piece.
+PIECE = 128
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -35,39 +37,78 @@ class Model:
     lexicons: list[frozenset[str]]
 
 
-def features(word: str, lexicons: list[frozenset[str]]) -> list[int]:
-    """Rows of the weight table: affixes to three letters, bigrams and trigrams, the form, lexicons."""
-    edged = f"<{word}>"
-    names = [f"p{word[:i]}" for i in (1, 2, 3)] + [f"s{word[-i:]}" for i in (1, 2, 3)] + [f"w{word}"]
-    names += [edged[i : i + 2] for i in range(len(edged) - 1)] + [edged[i : i + 3] for i in range(len(edged) - 2)]
-    return [zlib.crc32(n.encode()) % SLOTS for n in names] + [SLOTS + i for i, known in enumerate(lexicons) if word in known]
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
+
+
+def _slots(*parts: np.ndarray | int) -> np.ndarray:
+    """Rows of the weight table for tuples of small numbers."""
+    x = sum(np.asarray(p, np.uint64) * f for p, f in zip(parts, _FACTORS))
+    x = (x ^ x >> np.uint64(31)) * np.uint64(0x7FB5D329728EA185)
+    return ((x ^ x >> np.uint64(29)) % np.uint64(SLOTS)).astype(np.int32)
+
+
+def features(words: list[str], lexicons: list[frozenset[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the weight table, word after word, and where each word's begin: affixes to three letters, bigrams and trigrams, the whole word, lexicons."""
+    letters = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    stop = np.cumsum(size + 2)
+    first, every = stop - size - 2, np.arange(len(words))
+    owner = np.repeat(every, size + 2)
+    rows, owners = [], []
+    letter = lambda at, inside: np.where(inside, letters[np.clip(at, 0, len(letters) - 1)], 0)
+    for n in (1, 2, 3):
+        head = [letter(first + 1 + i, i < np.minimum(n, size)) for i in range(3)]
+        tail = [letter(stop - 2 - i, i < np.minimum(n, size)) for i in range(3)]
+        rows += [_slots(*head, n), _slots(*tail, 3 + n)]
+        owners += [every, every]
+    for n in (2, 3):
+        at = np.flatnonzero(np.arange(len(letters)) + n <= stop[owner])
+        rows.append(_slots(letters[at], letters[at + 1], letters[at + 2] if n == 3 else 0, 5 + n))
+        owners.append(owner[at])
+    spread = (letters + np.uint64(1)) * _FACTORS[2] + (np.arange(len(letters)) - first[owner]).astype(np.uint64) * _FACTORS[3]
+    spread = (spread ^ spread >> np.uint64(31)) * _FACTORS[0]
+    rows.append(_slots(np.add.reduceat(spread ^ spread >> np.uint64(29), first), 0, 0, 9))
+    owners.append(every)
+    for i, known in enumerate(lexicons):
+        held = np.array([k for k, w in enumerate(words) if w in known], np.int64)
+        rows.append(np.full(len(held), SLOTS + i, np.int32))
+        owners.append(held)
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(rows)[order], np.searchsorted(owner[order], every)
 
 
 def chains(text: str) -> list[list[str]]:
-    """Lower-case words of each line, at most CHAIN at a time.  A word has a letter."""
+    """Lower-case words of each line, one chain a line whatever its length.  A word has a letter."""
     out = []
     for line in text.lower().split("\n"):
         found = _WORD.findall(line)
-        out += [found[i : i + CHAIN] for i in range(0, len(found), CHAIN)]
+        if not line.isascii() and not all(map(str.isalpha, found)):
+            found = [w for w in found if any(map(str.isalpha, w))]
+        if found:
+            out.append(found)
     return out
 
 
-def forward_backward(emission: np.ndarray, starts: np.ndarray, lengths: np.ndarray, step: np.ndarray, pairs: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+def forward_backward(emission: np.ndarray, starts: np.ndarray, lengths: np.ndarray, step: np.ndarray, pairs: bool = False, entering: np.ndarray | None = None, leaving: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Label probabilities of all places of packed chains, and expected label pairs on request.
 
-    emission: positive scores (places, labels); step: positive transition scores.
+    emission: positive scores (places, labels); step: positive transition scores; entering and
+    leaving: the messages (chains, labels) that come from what stands before and after each chain.
     """
     order = np.argsort(-lengths, kind="stable")
     first, size = starts[order], lengths[order]
+    none = np.ones((len(size), emission.shape[1]), emission.dtype)
+    entering, leaving = (none if m is None else m[order].astype(emission.dtype) for m in (entering, leaving))
     longest = int(size[0]) if len(size) else 0
     live = np.searchsorted(-size, -np.arange(longest), side="left")
     alpha = np.empty_like(emission)
     for t in range(longest):
         at = first[: live[t]] + t
-        a = emission[at] if t == 0 else (a[: live[t]] @ step) * emission[at]
+        a = (entering if t == 0 else a[: live[t]] @ step) * emission[at]
         a /= a.sum(axis=1, keepdims=True)
         alpha[at] = a
-    beta = np.ones((len(size), emission.shape[1]), emission.dtype)
+    beta = leaving.copy()
     expected = np.zeros_like(step) if pairs else None
     for t in range(longest - 1, -1, -1):
         if t + 1 < longest:
@@ -84,6 +125,50 @@ def forward_backward(emission: np.ndarray, starts: np.ndarray, lengths: np.ndarr
     return alpha, expected
 
 
+def in_pieces(lengths: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and lengths of pieces of up to ``most`` places that packed chains are cut into, and the chain of each."""
+    counts = np.maximum(-(-lengths // most), 1)
+    chain = np.repeat(np.arange(len(lengths)), counts)
+    place = np.arange(len(chain)) - np.repeat(np.cumsum(counts) - counts, counts)
+    begin = (np.cumsum(lengths) - lengths)[chain]
+    return begin + place * most, np.minimum(most, lengths[chain] - place * most), chain
+
+
+def messages(emission: np.ndarray, starts: np.ndarray, lengths: np.ndarray, chain: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Messages that enter and leave each piece, so that pieces of one chain give what the whole chain gives.
+
+    The transfer matrices of all pieces are multiplied up side by side, then the messages pass from piece to piece.
+    """
+    n = emission.shape[1]
+    opens = np.r_[True, chain[1:] != chain[:-1]]
+    closes = np.r_[opens[1:], True]
+    entering, leaving = (np.ones((len(starts), n)) for _ in range(2))
+    several = np.flatnonzero(~(opens & closes))
+    transfer = np.tile(np.eye(n), (len(several), 1, 1))
+    for t in range(int(lengths[several].max()) if len(several) else 0):
+        live = np.flatnonzero(lengths[several] > t)
+        e = emission[starts[several[live]] + t][:, None, :].astype(np.float64)
+        moved = transfer[live] if t == 0 else transfer[live] @ step
+        if t == 0:
+            moved = np.where(opens[several[live]][:, None, None], moved, step)
+        moved = moved * e
+        transfer[live] = moved / moved.sum(axis=(1, 2), keepdims=True)
+    where = dict(zip(several.tolist(), range(len(several))))
+    for p in several.tolist():
+        here = transfer[where[p]]
+        end = here.sum(axis=0) if opens[p] else end @ here  # noqa: F821
+        end = end / end.sum()
+        if not closes[p]:
+            entering[p + 1] = end @ step
+    for p in reversed(several.tolist()):
+        if closes[p]:
+            message = np.ones(n)
+        leaving[p] = message
+        message = transfer[where[p]] @ message
+        message = message / message.sum()
+    return entering, leaving
+
+
 def train(samples: list[tuple[str, str]], rounds: int = 30, seed: int = 7) -> Model:
     """A model of (text, language) pairs by AdaGrad on the regularised log-likelihood.
 
@@ -107,7 +192,7 @@ def train(samples: list[tuple[str, str]], rounds: int = 30, seed: int = 7) -> Mo
         starts.append(len(ids))
         for i in order[at : at + take]:
             c, y = lines[i]
-            if size and size + len(c) > CHAIN:
+            if size and size + len(c) > JOINED:
                 starts.append(len(ids))
                 lengths.append(size)
                 size = 0
@@ -117,10 +202,8 @@ def train(samples: list[tuple[str, str]], rounds: int = 30, seed: int = 7) -> Mo
         lengths.append(size)
         at += take
     ids, gold, starts, lengths = (np.array(v, np.int64) for v in (ids, gold, starts, lengths))
-    rows = [np.array(features(w, lexicons), np.int32) for w in number]
-    flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
-    edge = np.cumsum([0, *map(len, rows)])[:-1]
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), list(map(len, rows)))
+    flat, edge = features(list(number), lexicons) if number else (np.empty(0, np.int32), np.empty(0, np.int64))
+    owner = np.repeat(np.arange(len(number), dtype=np.int32), np.diff(np.r_[edge, len(flat)]))
     n = len(langs)
     weights, steps = np.zeros((SLOTS + n, n)), np.zeros((n, n))
     seen_w, seen_s = np.full_like(weights, 1e-6), np.full_like(steps, 1e-6)
@@ -134,7 +217,7 @@ def train(samples: list[tuple[str, str]], rounds: int = 30, seed: int = 7) -> Mo
         scores = np.add.reduceat(weights[flat], edge)
         emission = np.exp(scores - scores.max(axis=1, keepdims=True))[ids] + 1e-30
         got, expected = forward_backward(emission, starts, lengths, np.exp(steps), pairs=True)
-        missing = np.stack([np.bincount(ids, weights=(truth - got)[:, j], minlength=len(rows)) for j in range(n)], axis=1)
+        missing = np.stack([np.bincount(ids, weights=(truth - got)[:, j], minlength=len(number)) for j in range(n)], axis=1)
         slope = np.stack([np.bincount(flat, weights=missing[owner, j], minlength=SLOTS + n) for j in range(n)], axis=1) / len(ids) - 1e-6 * weights
         seen_w += slope**2
         weights += 0.5 * slope / np.sqrt(seen_w)
@@ -149,18 +232,16 @@ def held_out(name: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(name).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, per_lang: int = 100, most_langs: int = 64) -> Model:
-    """A model of a bounded sample: about per_lang labelled documents, outside the held-out fifth, of each of the most_langs most frequent languages.
+def fit(docs: DataFrame, per_lang: int = 100) -> Model:
+    """A model of a bounded sample: about per_lang labelled documents of each language, outside the held-out fifth.
 
-    Documents are chosen by a hash of their id, the same ones on every run.
+    Documents are chosen by a hash of their id, the same ones on every run.  Every language that is
+    a label of some row is learned; the labels, not the documents, are counted on the driver.
     """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect()
-    share = F.lit(None).cast("double")
-    for r in counts:
-        share = F.when(F.col("lang") == r["lang"], F.lit(per_lang / r["count"])).otherwise(share)
+    counts = usable.groupBy("lang").count().select("lang", (per_lang / F.col("count")).alias("_share"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003
-    sample = usable.filter(draw < share).select("doc_id", "text", "lang") if counts else usable.select("doc_id", "text", "lang").limit(0)
+    sample = usable.select("doc_id", "text", "lang").join(F.broadcast(counts), "lang").filter(draw < F.col("_share")).select("doc_id", "text", "lang")
     return train([(r["text"], r["lang"]) for r in sorted(sample.collect(), key=lambda r: (r["doc_id"], r["text"], r["lang"]))])
 
 
@@ -176,11 +257,8 @@ class Tagger:
         self.rows = np.empty((1 << 12, len(self.model.langs)), np.float32)
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > CACHE:
-            self._forget()
-        feats = [features(w, self.model.lexicons) for w in words]
-        edge = np.cumsum([0, *map(len, feats)])[:-1]
-        scores = np.add.reduceat(self.model.weights[np.concatenate(feats)], edge)
+        flat, edge = features(words, self.model.lexicons)
+        scores = np.add.reduceat(self.model.weights[flat], edge)
         scores = np.exp(scores - scores.max(axis=1, keepdims=True)) + np.float32(1e-30)
         at = len(self.known)
         while at + len(words) > len(self.rows):
@@ -202,17 +280,18 @@ class Tagger:
         words = [w for s in seqs for w in s]
         if not words or not self.model.langs:
             return np.zeros((len(words), len(self.model.langs)), np.float32)
-        lengths = np.fromiter(map(len, seqs), np.int64, len(seqs))
-        return forward_backward(self.emissions(words), np.cumsum(lengths) - lengths, lengths, self.model.transitions)[0]
-
-    def documents(self, texts: list[bytes | None]) -> list[tuple[str, float]]:
-        """Language and its mean probability for each text."""
-        out: list[tuple[str, float]] = []
+        emission, step = self.emissions(words), self.model.transitions
+        starts, lengths, chain = in_pieces(np.fromiter(map(len, seqs), np.int64, len(seqs)), PIECE)
+        entering, leaving = messages(emission, starts, lengths, chain, step)
+        return forward_backward(emission, starts, lengths, step, entering=entering, leaving=leaving)[0]
+
+    def documents(self, texts: list[bytes | None]) -> list[tuple[str, float, float]]:
+        """Language, its mean probability, and the mean probability of each word's own best language, for each text."""
+        out: list[tuple[str, float, float]] = []
         held: list[list[list[str]]] = []
         size = 0
         for text in texts:
-            seqs = [[w for w in s if not w.isascii() or w.isalpha()] for s in chains((text or b"").decode())]
-            seqs = [s for s in ([w for w in s if any(c.isalpha() for c in w)] if not all(map(str.isalpha, s)) else s for s in seqs) if s]
+            seqs = chains((text or b"").decode())
             held.append(seqs)
             size += sum(map(len, seqs))
             if size >= BATCH_WORDS:
@@ -220,36 +299,64 @@ class Tagger:
                 held, size = [], 0
         return out + self._close(held)
 
-    def _close(self, held: list[list[list[str]]]) -> list[tuple[str, float]]:
+    def _close(self, held: list[list[list[str]]]) -> list[tuple[str, float, float]]:
         found = self.marginals([s for seqs in held for s in seqs])
         counts = np.array([sum(map(len, seqs)) for seqs in held], np.int64)
-        out = [(UNDETERMINED, 0.0)] * len(held)
+        out = [(UNDETERMINED, 0.0, 0.0)] * len(held)
         some = np.flatnonzero(counts)
         if len(some) and self.model.langs:
-            mean = np.add.reduceat(found.astype(np.float64), (np.cumsum(counts) - counts)[some]) / counts[some][:, None]
-            for i, m in zip(some.tolist(), mean):
-                out[i] = self.model.langs[int(m.argmax())], float(min(1.0, m.max()))
+            first = (np.cumsum(counts) - counts)[some]
+            mean = np.add.reduceat(found.astype(np.float64), first) / counts[some][:, None]
+            sure = np.add.reduceat(found.max(axis=1).astype(np.float64), first) / counts[some]
+            for i, m, s in zip(some.tolist(), mean, np.minimum(sure, 1.0).tolist()):
+                out[i] = self.model.langs[int(m.argmax())], float(min(1.0, m.max())), s
         return out
 
 
+def language_column(model: Model, text: Column) -> Column:
+    """A struct of lang, score and sure for each text: the language of the document, its mean probability, and the mean
+    probability of each word's own best language.  Null texts and texts without letters are ``und`` with zeros."""
+
+    @arrow_udf("struct<lang string, score double, sure double>")
+    def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = Tagger(model)
+        for batch in batches:
+            got = [g for low in range(0, len(batch), 1024) for g in own.documents(batch.slice(low, 1024).cast(pa.binary()).to_pylist())]
+            columns = [pa.array([g[0] for g in got], pa.string()), *(pa.array([g[i] for g in got], pa.float64()) for i in (1, 2))]
+            yield pa.StructArray.from_arrays(columns, names=["lang", "score", "sure"])
+        del own
+        give_back()
+
+    return label(text)
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with lang_pred and score.  Only ``text`` is read; null texts and texts without letters are ``und``, score 0."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in ("lang_pred", "score")) + ", lang_pred string, score double"
-    docs = docs.drop("lang_pred", "score")
-    out_schema = _arrow_schema(docs.sparkSession, schema)
-    place = docs.columns.index("text")
+    """docs with lang_pred and score (columns of these names are replaced).  Only ``text`` is read."""
     ship_package(docs.sparkSession)
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    found = packed(docs.select(kept), language_column(model, F.col("text")).alias("_found"))
+    return found.select("row.*", F.col("_found.lang").alias("lang_pred"), "_found.score")
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Tagger(model)  # its cache ends with the task: later stages reuse the Python workers
-        for whole in batches:
-            for low in range(0, whole.num_rows, 1024):
-                batch = whole.slice(low, 1024)
-                got = own.documents(batch.column(place).cast(pa.binary()).to_pylist())
-                extra = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
-                yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(batch.columns, out_schema)), *extra], schema=out_schema)
+def label_words(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, line, place, word, lang, probability: every word of every text with its most probable language.
+
+    Words are lower-case runs of letters, chains are lines.  Null texts and texts without letters give no row.
+    """
 
-    return docs.mapInArrow(run, schema)
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        own = Tagger(model)
+        for doc_id, text in rows:
+            lines = [(i, c) for i, line in enumerate((text or b"").decode().split("\n")) for c in chains(line)]
+            found = own.marginals([c for _, c in lines])
+            if not len(found) or not model.langs:
+                continue
+            best, sure = found.argmax(axis=1).tolist(), found.max(axis=1).tolist()
+            places = ((i, k, w) for i, c in lines for k, w in enumerate(c))
+            for (line, place, word), b, p in zip(places, best, sure):
+                yield doc_id, line, place, word, model.langs[b], float(p)
+
+    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, line int, place int, word string, lang string, probability double")
 
 
 def language_of(docs: DataFrame) -> DataFrame:
@@ -259,8 +366,12 @@ def language_of(docs: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents whose language is determined with at least that score; columns as in the input."""
+    """The documents whose words have languages: those with letters whose words' best languages are at least that probable on average.
+
+    A document that mixes languages stays if its words are sure.  Columns are those of the input,
+    whatever their names; null texts go; repeated rows go or stay together; an empty table gives an empty one.
+    """
     model = fit(docs)
-    kept = predict(docs.withColumnsRenamed({c: f"_in_{c}" for c in ("lang_pred", "score") if c in docs.columns}), model)
-    kept = kept.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({f"_in_{c}": c for c in ("lang_pred", "score")}).select(docs.columns)
+    ship_package(docs.sparkSession)
+    found = packed(docs, language_column(model, F.col("text")).alias("_found"))
+    return found.filter((F.col("_found.lang") != UNDETERMINED) & (F.col("_found.sure") >= least)).select("row.*")

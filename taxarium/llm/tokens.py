@@ -28,7 +28,7 @@ WIDTHS = tuple(60 // n for n in COUNTS)
 BLOCK = 16_384
 MAGIC = b"TXS8"
 #: Ids of a container before it closes, cached pieces of a Python worker (a power of two), text bytes encoded at once.
-CONTAINER_IDS, CACHE, BATCH_BYTES = 1 << 18, 1 << 20, 1 << 18
+CONTAINER_IDS, CACHE, BATCH_BYTES = 1 << 18, 1 << 19, 1 << 18
 
 
 def pack(values: np.ndarray) -> np.ndarray:
@@ -173,12 +173,34 @@ class PieceEncoder:
         self.slots = np.full(4 * CACHE, -1, np.int32)
         self.low, self.high = np.zeros(CACHE, np.uint64), np.zeros(CACHE, np.uint64)
         self.starts, self.lengths = np.zeros(CACHE, np.int32), np.zeros(CACHE, np.int32)
-        self.whole = np.zeros(CACHE, bool)
+        self.whole, self.again = np.zeros(CACHE, bool), np.zeros(CACHE, bool)
         self.pool = np.empty(1 << 16, np.uint32)
         self.pool[0], self.used, self.size, self.lengths[0] = self.end_id, 1, 1, 1
         self.long: dict[bytes, int] = {}
         self._place(np.zeros(1, np.int64))
 
+    def _shrink(self) -> None:
+        """Forget the pieces that no later batch has used again; all, if that leaves over half of them."""
+        kept = np.flatnonzero(self.again[: self.size])
+        kept = kept[kept > 0]
+        low, high, starts, lengths, whole, pool, long = self.low, self.high, self.starts, self.lengths, self.whole, self.pool, self.long
+        self.reset()
+        if len(kept) > CACHE // 2:
+            return
+        new = np.arange(1, 1 + len(kept))
+        ids = pool[_ranges(starts[kept].astype(np.int64), lengths[kept].astype(np.int64))]
+        if 1 + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty(len(ids), np.uint32)])
+        self.pool[1 : 1 + len(ids)] = ids
+        self.low[new], self.high[new], self.lengths[new], self.whole[new] = low[kept], high[kept], lengths[kept], whole[kept]
+        self.starts[new] = 1 + np.cumsum(lengths[kept]) - lengths[kept]
+        self.used, self.size = 1 + len(ids), 1 + len(kept)
+        place = dict(zip(kept.tolist(), new.tolist()))
+        self.long = {r: place[i] for r, i in long.items() if i in place}
+        is_long = np.zeros(CACHE, bool)
+        is_long[list(self.long.values())] = True
+        self._place(new[~is_long[new]])
+
     def _slot(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         x = low * np.uint64(0x9E3779B97F4A7C15) + high * np.uint64(0xC2B2AE3D27D4EB4F)
         x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
@@ -270,14 +292,15 @@ class PieceEncoder:
         high = words[at + 8] & _KEEP[np.clip(size - 8, 0, 8)]
         entry = self._find(low, high)
         entry[size > _SHORT] = -1
+        self.again[entry[entry > 0]] = True
         new = np.flatnonzero(entry < 0)
         if len(new):
             pieces = [joined[i : i + n] for i, n in zip(at[new].tolist(), size[new].tolist())]
             fresh = [p for p in dict.fromkeys(pieces) if p not in self.long]
             if self.size + len(fresh) > CACHE:
-                if len(at) >= CACHE:
+                if len(at) >= CACHE // 2:
                     return self._one_by_one(texts)
-                self.reset()
+                self._shrink()
                 return self.encode(texts)
             known = dict(zip(fresh, self._learn(fresh)))
             entry[new] = [known[p] if p in known else self.long[p] for p in pieces]
@@ -329,7 +352,7 @@ _ENCODERS: dict[tuple[str, int], PieceEncoder] = {}
 
 
 def encoder(path: str, end_id: int) -> PieceEncoder:
-    """The encoder of this Python worker; its cache, some 70 MB at most, outlives a task."""
+    """The encoder of this Python worker; its cache, some 40 MB at most, outlives a task."""
     if (path, end_id) not in _ENCODERS:
         _ENCODERS[path, end_id] = PieceEncoder(path, end_id)
     return _ENCODERS[path, end_id]
