@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, Scratch, id_back, id_key, map_rows
+from .common import Scratch, id_back, id_key, map_rows, packed, whole_text
 
 #: Fixed value: a generator polynomial of the binary (23, 12, 7) Golay code, x^11+x^10+x^6+x^5+x^4+x^2+1.
 GENERATOR = 0xC75
@@ -83,11 +83,15 @@ def fingerprint(text: bytes) -> int:
     stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = [0, *(stops[:-3] + 1).tolist()]
     n = len(words) - 2
-    h = np.fromiter((_hash(joined[i:j]) for i, j in zip(starts, stops[2:].tolist())), np.uint64, n)
+    return majority(np.fromiter((_hash(joined[i:j]) for i, j in zip(starts, stops[2:].tolist())), np.uint64, n))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the unsigned 64-bit hashes."""
     ones = np.zeros(64, np.int64)
-    for low in range(0, n, 16384):
+    for low in range(0, len(h), 16384):
         ones += np.unpackbits(h[low : low + 16384].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+    return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)[0])
 
 
 def with_fingerprint(docs: DataFrame) -> DataFrame:
@@ -153,7 +157,8 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
         if held:
             yield from emit(held)
 
-    keys = map_rows(distinct.select("fp"), keyed, "key long, fp long")
+    # Every fingerprint becomes some forty keys, so the few files of a small table are dealt out first.
+    keys = map_rows(distinct.select("fp").repartition("fp"), keyed, "key long, fp long")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail_key, tail_fp = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -207,7 +212,9 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         new = scratch.save(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         mark = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
+            scratch.keep_only(new)
             return new.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(new.select("v", "v").distinct().toDF("node", "label"))
+        scratch.keep_only(new)
         now, seen = new, mark
 
 
@@ -225,6 +232,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = scratch.save(nodes.join(labels, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("label", "fp").alias("label")))
     smallest = scratch.save(known.groupBy("label").agg(F.min("first_id").alias("component_id")))
     member = scratch.save(known.join(smallest, "label").select("fp", "component_id"))
+    scratch.keep_only(rows, member)
     return rows.join(member, "fp").select(id_back("doc_id").alias("doc_id"), hex16(F.col("fp")).alias("fingerprint"), id_back("component_id").alias("component_id"))
 
 
@@ -235,17 +243,13 @@ def hex16(fp: Column) -> Column:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents that open their component: one stays of each group (of repeated rows of it, one too).
 
-    Columns are those of the input.
+    Columns are those of the input, whatever their names.  Of rows that share an id, one of least
+    text hash stays.
     """
-    spark = docs.sparkSession
     groups = near_duplicates(docs)
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__first")).distinct()
-    first = Scratch(spark, "first").save(first)
-    kept = docs.withColumn("__id", id_key()).join(first, F.col("__id") == F.col("__first"), "left_semi")
-    # Rows that share an id: the one of least text hash stays.
-    order = F.struct(F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.monotonically_increasing_id().alias("i"))
-    if docs.select(id_key().alias("__id")).groupBy("__id").count().filter("count > 1").isEmpty():
-        return kept.select(docs.columns)
-    kept = Scratch(spark, "shared").save(kept.withColumn("__order", order))
-    least = kept.groupBy("__id").agg(F.min("__order").alias("__order"))
-    return kept.join(least, ["__id", "__order"], "left_semi").select(docs.columns)
+    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(id_key().alias("_id")).distinct()
+    kept = packed(docs, id_key().alias("_id"), F.xxhash64(whole_text()).alias("_x")).join(Scratch(docs.sparkSession, "first").save(first), "_id", "left_semi")
+    if docs.select(id_key().alias("_id")).groupBy("_id").count().filter("count > 1").isEmpty():
+        return kept.select("row.*")
+    least = kept.groupBy("_id").agg(F.min("_x").alias("_x"))
+    return kept.join(least, ["_id", "_x"], "left_semi").dropDuplicates(["_id", "_x"]).select("row.*")
