@@ -1,9 +1,9 @@
 """GIF media columns: LZW decoding, palettes, disposal, transparency, timed frames, colour histograms.
 
-``encode_gif`` stores bytes as 8-bit palette indices.  It writes literal codes with regular clear
-codes, so that code width stays nine bits and the whole stream packs and unpacks in numpy;
-``compress=True`` builds the usual growing dictionary instead.  ``decode_gif`` reads either kind
-and any other GIF: streams of nine-bit literals at once, all else code by code.
+``encode_gif`` stores bytes as 8-bit palette indices with the usual growing dictionary.  Code widths
+depend only on the number of codes since the last clear code, so codes pack and unpack in numpy, a
+clear-to-clear stretch at once; only the dictionary grows code by code.  ``decode_gif`` reads any
+GIF, frame by frame: one canvas and one frame are in memory.
 """
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ from pyspark.sql import DataFrame
 from .common import map_rows
 
 WIDTH, MAX_ROWS = 64, 65_535
-#: Literals between clear codes: 1 + 247 codes of nine bits fill whole bytes and stay below code 512.
-RUN = 247
 GREY = bytes(v for i in range(256) for v in (i, i, i))
 
 
@@ -55,118 +53,99 @@ def _sub_blocks(data: bytes) -> bytes:
     return body.tobytes() + (bytes([len(rest)]) + rest if rest else b"") + b"\0"
 
 
-def _pack_literals(data: np.ndarray) -> bytes:
-    runs = -(-len(data) // RUN)
-    codes = np.zeros(runs * RUN, np.uint16)
-    codes[: len(data)] = data
-    codes = np.concatenate([np.full((runs, 1), 256, np.uint16), codes.reshape(runs, RUN)], axis=1).ravel()
-    codes = np.append(codes[: len(data) + runs], np.uint16(257))
-    used = len(codes)
-    codes = np.append(codes, np.zeros(-used % 8, np.uint16)).reshape(-1, 8)
-    out = np.zeros((len(codes), 9), np.uint16)
-    for j in range(8):
-        out[:, j] |= codes[:, j] << j
-        out[:, j + 1] |= codes[:, j] >> (8 - j)
-    return (out & 255).astype(np.uint8).tobytes()[: -(-used * 9 // 8)]
+def _widths(bits: int) -> np.ndarray:
+    """Widths of the codes after a clear code, until the dictionary of 4096 is full."""
+    # Before the n-th code (from 0) the dictionary holds max(n - 1, 0) strings more than the first ones.
+    held = (1 << bits) + 2 + np.maximum(np.arange(4096) - 1, 0)
+    return np.minimum(np.maximum(np.ceil(np.log2(held + 1)).astype(np.int64), bits + 1), 12)
 
 
-def _pack_dictionary(data: bytes, bits: int = 8) -> bytes:
+_FITS = {bits: _widths(bits) for bits in range(1, 12)}
+
+
+def _bits_of(codes: np.ndarray, widths: np.ndarray) -> np.ndarray:
+    """The bits of all codes, least significant first."""
+    every = (codes[:, None] >> np.arange(12) & 1).astype(np.uint8)
+    return every[np.arange(12) < widths[:, None]]
+
+
+def lzw_encode(data: bytes, bits: int = 8) -> bytes:
+    """One LZW code stream, with a clear code first and whenever the dictionary is full."""
     clear, end = 1 << bits, (1 << bits) + 1
-    acc, n_bits, out = 0, 0, bytearray()
-    table, width = {}, bits + 1
-    codes = [(clear, width)]
-    prefix: tuple | int | None = None
-    following = end + 1
+    codes: list[int] = [clear]
+    sizes: list[int] = []  # codes of each stretch, its closing clear or end code included
+    table: dict[int, int] = {}
+    following, begun, prefix = end + 1, 1, -1
     for value in data:
-        if prefix is None:
+        if prefix < 0:
             prefix = value
             continue
-        if (code := table.get((prefix, value))) is not None:
+        key = prefix << 8 | value
+        code = table.get(key)
+        if code is not None:
             prefix = code
             continue
-        codes.append((prefix, width))
+        codes.append(prefix)
+        prefix = value
         if following < 4096:
-            table[prefix, value] = following
-            if following == 1 << width and width < 12:
-                width += 1
+            table[key] = following
             following += 1
         else:
-            codes.append((clear, width))
-            table, width, following = {}, bits + 1, end + 1
-        prefix = value
-    if prefix is not None:
-        codes.append((prefix, width))
-        if following == 1 << width and width < 12:
-            width += 1
-    codes.append((end, width))
-    for code, w in codes:
-        acc |= code << n_bits
-        n_bits += w
-        while n_bits >= 8:
-            out.append(acc & 255)
-            acc >>= 8
-            n_bits -= 8
-    if n_bits:
-        out.append(acc & 255)
-    return bytes(out)
+            codes.append(clear)
+            sizes.append(len(codes) - begun)
+            table, following, begun = {}, end + 1, len(codes)
+    if prefix >= 0:
+        codes.append(prefix)
+    codes.append(end)
+    sizes.append(len(codes) - begun)
+    fits = _FITS[bits]
+    widths = np.concatenate([[bits + 1], *(np.r_[fits[:n], np.full(max(n - len(fits), 0), 12)] for n in sizes)])
+    return np.packbits(_bits_of(np.array(codes, np.int64), widths), bitorder="little").tobytes()
 
 
 def lzw_decode(data: bytes, bits: int, n_pixels: int) -> np.ndarray:
-    """Palette indices of one LZW code stream."""
-    if bits == 8 and len(data) >= 3:
-        packed = np.frombuffer(data + bytes(-len(data) % 9 + 9), np.uint8)
-        packed = packed[: len(packed) // 9 * 9].reshape(-1, 9).astype(np.uint16)
-        codes = np.empty((len(packed), 8), np.uint16)
-        for k in range(8):
-            codes[:, k] = (packed[:, k] >> k | packed[:, k + 1] << (8 - k)) & 511
-        codes = codes.ravel()
-        ends = np.flatnonzero(codes == 257)
-        if len(ends):
-            codes = codes[: ends[0]]
-            clears = np.flatnonzero(codes == 256)
-            gaps = np.diff(np.append(clears, len(codes)))
-            if len(clears) and clears[0] == 0 and gaps.max() <= 254 and codes.max() <= 256:
-                return codes[codes != 256].astype(np.uint8)
-    return _lzw_by_code(data, bits, n_pixels)
-
-
-def _lzw_by_code(data: bytes, bits: int, n_pixels: int) -> np.ndarray:
+    """Palette indices of one LZW code stream, n_pixels at most."""
     clear, end = 1 << bits, (1 << bits) + 1
     first = [bytes([i]) for i in range(clear)] + [b"", b""]
-    table, width, last = list(first), bits + 1, None
-    out = bytearray()
-    acc = n_bits = at = 0
-    while len(out) < n_pixels:
-        while n_bits < width:
-            if at >= len(data):
-                return np.frombuffer(bytes(out), np.uint8)
-            acc |= data[at] << n_bits
-            at += 1
-            n_bits += 8
-        code = acc & ((1 << width) - 1)
-        acc >>= width
-        n_bits -= width
-        if code == clear:
-            table, width, last = list(first), bits + 1, None
-            continue
-        if code == end:
+    stream = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")
+    fits = _FITS[bits]
+    out: list[bytes] = []
+    size = at = seen = 0  # bytes out, bit to read, codes since the clear code
+    table, last = list(first), b""
+    while size < n_pixels:
+        widths = fits[seen:] if seen < len(fits) else np.full(4096, 12)
+        stops = at + np.cumsum(widths)
+        n = int(np.searchsorted(stops, len(stream), side="right"))
+        if not n:
             break
-        if code < len(table):
-            entry = table[code]
-        elif last is not None and code == len(table):
-            entry = last + last[:1]
-        else:
-            raise ValueError("broken LZW stream")
-        out += entry
-        if last is not None and len(table) < 4096:
-            table.append(last + entry[:1])
-            if len(table) == 1 << width and width < 12:
-                width += 1
-        last = entry
-    return np.frombuffer(bytes(out[:n_pixels]), np.uint8)
-
-
-def encode_gif(payload: bytes, delay_cs: int = 10, compress: bool = False) -> bytes:
+        places = np.minimum((stops[:n] - widths[:n])[:, None] + np.arange(12), len(stream) - 1)
+        codes = (np.where(np.arange(12) < widths[:n, None], stream[places], 0) << np.arange(12)).sum(axis=1)
+        stop = np.flatnonzero((codes == clear) | (codes == end))
+        used = int(stop[0]) if len(stop) else n
+        grown = len(table)
+        for code in codes[:used].tolist():
+            if code < grown:
+                entry = table[code]
+            elif code == grown and last:
+                entry = last + last[:1]
+            else:
+                raise ValueError("broken LZW stream")
+            if last and grown < 4096:
+                table.append(last + entry[:1])
+                grown += 1
+            out.append(entry)
+            size += len(entry)
+            last = entry
+        at, seen = int(stops[used - 1]) if used else at, seen + used
+        if len(stop):
+            if codes[used] == end:
+                break
+            at, seen = int(stops[used]), 0
+            table, last = list(first), b""
+    return np.frombuffer(b"".join(out)[:n_pixels], np.uint8)
+
+
+def encode_gif(payload: bytes, delay_cs: int = 10) -> bytes:
     """A GIF whose frames hold the payload (a positive multiple of 64 bytes) as indices of a grey palette."""
     samples = np.frombuffer(payload, np.uint8)
     rows = len(samples) // WIDTH
@@ -176,12 +155,12 @@ def encode_gif(payload: bytes, delay_cs: int = 10, compress: bool = False) -> by
         part = samples[low * WIDTH : (low + MAX_ROWS) * WIDTH]
         out.append(b"\x21\xf9\x04\x04" + delay_cs.to_bytes(2, "little") + b"\0\0")
         out.append(b"\x2c\0\0\0\0" + WIDTH.to_bytes(2, "little") + (len(part) // WIDTH).to_bytes(2, "little") + b"\0\x08")
-        out.append(_sub_blocks(_pack_dictionary(part.tobytes()) if compress else _pack_literals(part)))
+        out.append(_sub_blocks(lzw_encode(part.tobytes())))
     return b"".join(out) + b";"
 
 
-def decode_gif(data: bytes) -> list[Frame]:
-    """All frames, each with the canvas as shown: palette, transparency and the disposal of earlier frames applied."""
+def decode_gif(data: bytes) -> Iterator[Frame]:
+    """The frames one after the other, each with the canvas as shown: palette, transparency and the disposal of earlier frames applied."""
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     width, height = int.from_bytes(data[6:8], "little"), int.from_bytes(data[8:10], "little")
@@ -191,7 +170,6 @@ def decode_gif(data: bytes) -> list[Frame]:
         n = 3 << ((flags & 7) + 1)
         shared, at = np.frombuffer(data, np.uint8, n, at).reshape(-1, 3), at + n
     canvas = np.zeros((height, width, 4), np.uint8)
-    frames: list[Frame] = []
     delay, disposal, clear_index, clock = 0, 0, -1, 0
     while at < len(data) and data[at] != 0x3B:
         if data[at] == 0x21:
@@ -233,14 +211,13 @@ def decode_gif(data: bytes) -> list[Frame]:
         else:
             area[..., :3] = rgb
             area[..., 3] = 255
-        frames.append(Frame(left, top, indices, delay, clock, canvas.copy()))
+        yield Frame(left, top, indices, delay, clock, canvas.copy())
         clock += delay
         if disposal == 2:
             canvas[top : top + h, left : left + w] = 0
         elif disposal == 3:
             canvas = before
         delay, disposal, clear_index = 0, 0, -1
-    return frames
 
 
 def _read_blocks(data: bytes, at: int) -> tuple[bytes, int]:
@@ -252,7 +229,11 @@ def _read_blocks(data: bytes, at: int) -> tuple[bytes, int]:
 
 
 def text_media(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, media: each whole text (null: empty) as a GIF.  Extra columns are ignored."""
+    """doc_id, n_bytes, media: each whole text (null: empty) as a GIF.
+
+    Texts of over 4 MB take several frames; repeated rows give repeated media; extra columns are
+    ignored; an empty table gives an empty one.
+    """
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, text in rows:
@@ -264,18 +245,17 @@ def text_media(docs: DataFrame) -> DataFrame:
 def gif_frames(media: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per frame: key, frame, start and delay in hundredths of a second, size, RGBA canvas, histogram.
 
-    A null, empty or broken medium gives one row with frame -1 and null columns, so that it stays visible.
+    A null, empty or broken medium gives, after the frames read before the break, one row with
+    frame -1 and null columns, so that it stays visible.
     """
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for k, data in rows:
             try:
-                frames = decode_gif(data or b"")
+                for i, f in enumerate(decode_gif(data or b"")):
+                    yield k, i, f.start_cs, f.delay_cs, f.canvas.shape[1], f.canvas.shape[0], f.canvas.tobytes(), f.histogram()
             except (ValueError, IndexError):
                 yield (k, -1) + (None,) * 6
-                continue
-            for i, f in enumerate(frames):
-                yield k, i, f.start_cs, f.delay_cs, f.canvas.shape[1], f.canvas.shape[0], f.canvas.tobytes(), f.histogram()
 
     return map_rows(media.select(key, "media"), run, f"{key} long, frame int, start_cs int, delay_cs int, width int, height int, rgba binary, histogram array<long>")
 
@@ -285,10 +265,14 @@ def media_digests(media: DataFrame) -> DataFrame:
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, n, data in rows:
-            frames = decode_gif(data)
-            payload = b"".join(f.indices.tobytes() for f in frames)
-            hist = np.sum([f.histogram() for f in frames], axis=0)
-            feature = f"gif:{len(frames)}x{frames[0].canvas.shape[1]}x{frames[0].canvas.shape[0]}:{sum(f.delay_cs for f in frames)}cs:" + ",".join(map(str, hist))
-            yield doc_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(data), hashlib.sha256(data).hexdigest(), feature
+            whole, size, tail, hist, count, clock, shape = hashlib.sha256(), 0, b"", np.zeros(24, np.int64), 0, 0, (0, 0)
+            for f in decode_gif(data):
+                part = f.indices.tobytes()
+                whole.update(part)
+                tail = (tail + part)[-64:]
+                size, hist, clock, shape = size + len(part), hist + f.histogram(), clock + f.delay_cs, shape if count else f.canvas.shape
+                count += 1
+            feature = f"gif:{count}x{shape[1]}x{shape[0]}:{clock}cs:" + ",".join(map(str, hist))
+            yield doc_id, n, size, whole.hexdigest(), zlib.crc32(tail), len(data), hashlib.sha256(data).hexdigest(), feature
 
     return map_rows(media.select("doc_id", "n_bytes", "media"), run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")

@@ -1,14 +1,17 @@
-"""License scans: template shingles looked up in overlapping text windows, then exact containment; DataFrame operations only.
+"""License scans: MinHash bands over overlapping text windows retrieve templates, exact containment verifies; DataFrame operations only.
 
 A window holds twice as many words as a template and one starts every template length, so each
-occurrence lies whole in a window.  A window that holds a template to THRESHOLD lacks at most
-t - ceil(THRESHOLD * t) of its t shingles, so it holds one of any t - ceil(THRESHOLD * t) + 1 of
-them: these are the keys that templates and windows meet by, and no occurrence is lost.  (MinHash
-bands lost notices of few shingles in windows of other text.)  Exact shingle containment decides.
+occurrence lies whole in a window.  A band is one minimum hash.  A window that holds a template to
+THRESHOLD has at least a certain Jaccard similarity with it, a sixth for templates of one shingle
+and over a third for long ones; templates of each length get as many bands as bring the
+probability that such a window shares none below LOST.  Exact shingle containment then decides.
+Windows without a shingle of any template have similarity zero and get no bands.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,8 @@ from .common import Scratch, id_back
 from .passages import document_key, hits, numbered, once, reference, shingles, text_words, window_shingles
 
 THRESHOLD = 0.8
+#: The probability that a window of least similarity is not retrieved.
+LOST = 1e-8
 #: Template shingles and template lengths up to which they are part of the plan, so that no text is shuffled.
 PLAN_SHINGLES, PLAN_LENGTHS = 10_000, 50
 #: Notices to look for.
@@ -30,6 +35,40 @@ NOTICES = (
     ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("reserved", "All rights reserved. No part of this publication may be reproduced"),
+    (
+        "apache-2.0-header",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    ),
+    (
+        "mit-text",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without "
+        "restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom "
+        "the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions "
+        "of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+        "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, "
+        "TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "isc-text",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission "
+        "notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS.",
+    ),
+    (
+        "bsd-2-clause-text",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must "
+        "retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ),
+    (
+        "zlib-text",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    ),
+    ("unlicense-text", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("gpl-warranty", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
 )
 
 
@@ -37,10 +76,17 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(NOTICES), "template_id string, text string")
 
 
-def keys(sh: Column, threshold: float) -> Column:
-    """The first t - ceil(threshold * t) + 1 of t shingles."""
-    # Rounding of the product may only add a key.
-    return once(sh, lambda s: F.slice(s, F.lit(1), F.size(s) - F.ceil(F.size(s) * threshold - 1e-6).cast("int") + 1))
+def bands(threshold: float) -> Column:
+    """How many bands templates and windows of n words and shingles of k take."""
+    t, w = F.col("n") - F.col("k") + 1, 2 * F.col("n") - F.col("k") + 1
+    held = F.ceil(t * threshold - 1e-6)
+    return F.ceil(F.lit(math.log(LOST)) / F.log(1 - held / (t + w - held))).cast("int")
+
+
+def signature(sh: Column, threshold: float) -> Column:
+    """(band, least hash) of a shingle list, for each band."""
+    least = lambda s, i: F.array_min(F.transform(s, lambda h: F.xxhash64(h, i)))
+    return once(F.array_distinct(sh), lambda s: F.transform(F.sequence(F.lit(1), bands(threshold)), lambda i: F.struct(i.alias("band"), least(s, i).alias("h"))))
 
 
 def windows_in_place(docs: DataFrame, marks: list) -> DataFrame:
@@ -82,7 +128,9 @@ def windows_by_join(docs: DataFrame, ref: DataFrame, scratch: Scratch) -> DataFr
 def scan(docs: DataFrame, table: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """_id, _x, template_id, start, n_words, containment: each document's best window for each template it holds.
 
-    Among windows that hold as much the first counts; start is the window's first word.
+    Among windows that hold as much the first counts; start is the window's first word.  Null texts
+    and empty ones hold nothing; repeated rows (one id, one text) give one result; a very long text
+    is one word list of its row; empty tables give no result; extra columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "licenses")
     ref = scratch.save(reference(table, "template_id"))
@@ -90,21 +138,23 @@ def scan(docs: DataFrame, table: DataFrame, threshold: float = THRESHOLD) -> Dat
     small = len(marks) <= PLAN_SHINGLES and len({(r["n"], r["k"]) for r in marks}) <= PLAN_LENGTHS
     windows = windows_in_place(docs, marks) if small and marks else windows_by_join(docs, ref, scratch)
     windows = scratch.save(windows)
-    index = ref.select("template_id", "n", F.explode(F.array_distinct(keys(F.col("sh"), threshold))).alias("h"))
-    probe = windows.select("_id", "_x", "start", "n", F.explode(F.array_distinct("sh")).alias("h"))
-    pairs = probe.join(index, ["n", "h"]).select("_id", "_x", "start", "n", "template_id").distinct()
+    index = ref.select("template_id", "n", F.explode(signature(F.col("sh"), threshold)).alias("b")).select("template_id", "n", "b.*")
+    probe = windows.select("_id", "_x", "start", "n", F.explode(signature(F.col("sh"), threshold)).alias("b")).select("_id", "_x", "start", "n", "b.*")
+    pairs = probe.join(index, ["n", "band", "h"]).select("_id", "_x", "start", "n", "template_id").distinct()
     whole = ref.select("template_id", numbered(F.col("sh")).alias("t"))
     checked = pairs.join(windows.select("_id", "_x", "start", "n", numbered(F.col("sh")).alias("s")), ["_id", "_x", "start", "n"]).join(whole, "template_id")
     checked = checked.withColumn("containment", F.size(F.array_intersect("t", "s")) / F.size("t")).filter(F.col("containment") >= threshold)
     best = checked.groupBy("_id", "_x", "template_id").agg(F.max_by(F.struct("start", "n", "containment"), F.struct("containment", -F.col("start"))).alias("b"))
-    return best.select("_id", "_x", "template_id", "b.start", F.col("b.n").alias("n_words"), "b.containment")
+    best = scratch.save(best.select("_id", "_x", "template_id", "b.start", F.col("b.n").alias("n_words"), "b.containment"))
+    scratch.keep_only(best)
+    return best
 
 
 def report(docs: DataFrame, table: DataFrame) -> DataFrame:
     return scan(docs, table).select(id_back("_id").alias("doc_id"), "template_id", F.col("start").cast("long").alias("start_word"), F.col("n_words").cast("long").alias("n_words"), "containment")
 
 
-_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in NOTICES)
+_VALUES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in NOTICES)
 SQL = rf"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM documents),
 tw AS (SELECT template_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM (VALUES {_VALUES}) t(template_id, text)),

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import packed
+
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2
@@ -19,7 +21,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _size() -> Column:
-    return F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long")
+    return F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("__size")
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -45,11 +47,11 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 
 def _ranked(docs: DataFrame) -> DataFrame:
-    """docs with __size, __source_size, __target, __copies."""
+    """row (docs as a struct), __size, __source_size, __target, __copies."""
     source = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
     bits = F.length(F.bin("__size"))
     spread = F.pmod(F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(1000003)) * 7919, F.lit(SPREAD))
-    rows = docs.withColumn("_source", source).withColumn("__size", _size())
+    rows = packed(docs, source.alias("_source"), "doc_id", _size())
     rows = rows.withColumn("_class", bits * 16 + F.expr("shiftright(__size, cast(greatest(length(bin(__size)) - 5, 0) as int)) & 15")).withColumn("_spread", spread)
     cell = ["_source", "_class", "_spread"]
     cells = rows.groupBy(*cell).agg(F.count("*").alias("n"))
@@ -72,12 +74,16 @@ def mix(docs: DataFrame) -> DataFrame:
     Columns of docs with these four names are replaced.
     """
     new = ("size", "source_size", "target", "copies")
-    return _ranked(docs).select(*(c for c in docs.columns if c not in new), *(F.col(f"__{c}").alias(c) for c in new))
+    kept = docs.select([c for c in docs.columns if c not in new])
+    return _ranked(kept).select("row.*", *(F.col(f"__{c}").alias(c) for c in new))
 
 
 def mixed_rows(docs: DataFrame) -> DataFrame:
-    """The mix itself: each document once per copy, with the columns of docs."""
-    return _ranked(docs).filter("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns)
+    """The mix itself: each document once per copy, with the columns of docs, whatever their names.
+
+    Repeated rows are documents of their own; an empty table gives an empty one.
+    """
+    return _ranked(docs).filter("__copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("row.*")
 
 
 SQL = r"""
