@@ -146,13 +146,6 @@ def multi_release_last_wins(spark, d):
     return tophit.last_by(both, ["gid"], F.col("o"), ["status", "price"])
 
 
-@query("SELECT coalesce(c.k, s.k) AS k, coalesce(c_name, '') AS c_name, coalesce(s_name, '') AS s_name FROM (SELECT c_custkey AS k, c_name FROM customer) c FULL JOIN (SELECT s_suppkey * 3 AS k, s_name FROM supplier) s ON c.k = s.k")
-def full_outer_tables(spark, d):
-    a = _t(spark, d, "customer").select(F.col("c_custkey").alias("k"), "c_name")
-    b = _t(spark, d, "supplier").select((F.col("s_suppkey") * 3).alias("k"), "s_name")
-    return compare.outer_tables([a, b], "k")
-
-
 _LINEAGE = "SELECT c_custkey, 'd__' || r_name || ';p__' || n_name || ';c__' || c_mktsegment || ';o__;f__;g__;s__' || c_name AS lineage FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
 
 
@@ -172,17 +165,6 @@ def lineage_fill_trailing(spark, d):
     return _lineages(spark, d).select("c_custkey", F.concat_ws(";", lineage.fill_trailing(F.slice("taxa", 1, 2))).alias("filled"))
 
 
-@query(f"SELECT c_custkey, lineage AS standard FROM ({_LINEAGE})")
-def standardise_lineage(spark, d):
-    return _lineages(spark, d).select("c_custkey", F.concat_ws(";", lineage.standardise(F.col("taxa"))).alias("standard"))
-
-
-@query(f"""WITH l AS ({_LINEAGE}), p AS (SELECT DISTINCT split_part(lineage, ';', 1) AS parent, split_part(lineage, ';', 2) AS child FROM l UNION SELECT DISTINCT split_part(lineage, ';', 2), split_part(lineage, ';', 3) FROM l UNION SELECT DISTINCT 'g__', split_part(lineage, ';', 7) FROM l)
-SELECT parent, count(*) AS n_children, string_agg(child, ',' ORDER BY child) AS children FROM p GROUP BY 1""")
-def taxon_children(spark, d):
-    return lineage.children(_lineages(spark, d), "taxa").select("parent", F.size("children").cast("long").alias("n_children"), F.concat_ws(",", "children").alias("children"))
-
-
 @query("SELECT p_brand, count(DISTINCT p_type) AS n_parents FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1")
 def inconsistent_parents(spark, d):
     return lineage.several_parents(_t(spark, d, "part"), "p_brand", "p_type")
@@ -200,14 +182,13 @@ def _nodes(spark, d) -> DataFrame:
 
 @query(f"WITH RECURSIVE {_TREE}, up(node, ancestor, depth) AS (SELECT node, node, 0 FROM nodes UNION ALL SELECT up.node, t.parent, up.depth + 1 FROM up JOIN nodes t ON t.node = up.ancestor WHERE t.parent IS NOT NULL) SELECT node, string_agg(ancestor, ';' ORDER BY depth DESC) AS lineage FROM up GROUP BY 1")
 def tree_lineage(spark, d):
-    walked = lineage.walk(spark, _nodes(spark, d), "node", "parent")
+    walked = lineage.walk(_nodes(spark, d), "node", "parent")
     return walked.groupBy("node").agg(F.concat_ws(";", F.transform(F.sort_array(F.collect_list(F.struct("depth", "ancestor")), asc=False), lambda x: x["ancestor"])).alias("lineage"))
 
 
 @query(f"WITH RECURSIVE {_TREE}, up(node, ancestor, depth) AS (SELECT node, node, 0 FROM nodes UNION ALL SELECT up.node, t.parent, up.depth + 1 FROM up JOIN nodes t ON t.node = up.ancestor WHERE t.parent IS NOT NULL) SELECT up.node, arg_min(ancestor, depth) AS ancestor FROM up JOIN nodes n ON n.node = up.ancestor AND n.rank = 'nation' GROUP BY 1")
 def nearest_ancestor(spark, d):
-    nodes = _nodes(spark, d)
-    return lineage.nearest(lineage.walk(spark, nodes, "node", "parent"), nodes, "nation")
+    return lineage.nearest(_nodes(spark, d), "node", "parent", "rank", "nation")
 
 
 @query("""WITH i AS (SELECT l_suppkey AS seq, l_partkey AS s, CAST(l_partkey + l_quantity AS BIGINT) AS e FROM lineitem),
@@ -252,20 +233,6 @@ def priority_years(spark, d):
     return _t(spark, d, "documents").select("doc_id", names.priority_year(F.col("text")).alias("priority_year"))
 
 
-@query("SELECT doc_id, CASE WHEN contains(lower(text), 'metagenome') THEN 'derived from metagenome' WHEN contains(lower(text), 'single cell') THEN 'derived from single cell' WHEN contains(lower(text), 'environmental') THEN 'derived from environmental sample' END AS category FROM documents")
-def category_ladder(spark, d):
-    return _t(spark, d, "documents").select("doc_id", names.genome_category(F.col("text")).alias("category"))
-
-
-@query("""WITH m AS (SELECT l_orderkey AS gid, 100.0::DOUBLE * count(DISTINCT l_suppkey % 10) FILTER (l_returnflag = 'A') / 10 AS a, 100.0::DOUBLE * count(DISTINCT l_suppkey % 10) FILTER (l_returnflag = 'R') / 10 AS b FROM lineitem GROUP BY 1)
-SELECT gid, CASE WHEN greatest(a, b) < 10 THEN o_orderstatus WHEN a > b THEN 'd__Archaea' ELSE 'd__Bacteria' END AS domain FROM m JOIN orders ON o_orderkey = gid""")
-def domain_vote(spark, d):
-    share = lambda f: 100.0 * F.count_distinct(F.when(F.col("l_returnflag") == f, F.col("l_suppkey") % 10)) / 10
-    m = _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("gid")).agg(share("A").alias("a"), share("R").alias("b"))
-    m = m.join(_t(spark, d, "orders").select(F.col("o_orderkey").alias("gid"), "o_orderstatus"), "gid")
-    return tophit.domain_vote(m, "gid", F.col("a"), F.col("b"), F.col("o_orderstatus"))
-
-
 @query(f"""WITH {_PREV}, {_CUR}, n AS (SELECT gid, max(path) AS path FROM cur GROUP BY 1), b AS (SELECT split_part(gid, '.', 1) AS base, min(gid) AS previous FROM prev WHERE gid NOT IN (SELECT gid FROM n) GROUP BY 1),
 j AS (SELECT coalesce(p.gid, n.gid) AS gid, p.gid IS NOT NULL AS e, n.gid IS NOT NULL AS w, p.path AS a, n.path AS z FROM prev p FULL JOIN n ON p.gid = n.gid),
 k AS (SELECT j.gid, CASE WHEN e AND w THEN CASE WHEN a = z THEN 'unchanged' ELSE 'update' END WHEN w THEN CASE WHEN previous IS NOT NULL THEN 'version' ELSE 'add' END ELSE 'removed' END AS action, previous FROM j LEFT JOIN b ON split_part(j.gid, '.', 1) = base)
@@ -304,12 +271,6 @@ def wgs_format(spark, d):
     return _t(spark, d, "orders").select("o_orderkey", ids.wgs_id(x).alias("wgs"))
 
 
-@query("SELECT doc_id, reverse(translate(substr(upper(text), 3, 40), 'ACGT', 'TGCA')) AS piece FROM documents WHERE regexp_matches(text, '^[ -~\n]*$')")
-def revcomp_subseq(spark, d):
-    docs = _t(spark, d, "documents").filter(F.col("text").rlike("^[ -~\n]*$"))
-    return docs.select("doc_id", names.reverse_complement(F.substring(F.upper("text"), 3, 40)).alias("piece"))
-
-
 @query()
 def rrna_merge(spark, d):
     hits = _t(spark, d, "lineitem").select(F.col("l_suppkey").cast("long").alias("seq"), F.col("l_partkey").cast("long").alias("start"), (F.col("l_partkey") + F.col("l_quantity")).cast("long").alias("end"), (F.col("l_linenumber") % 2 == 0).alias("reverse"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"))
@@ -334,12 +295,6 @@ def status_worklist(spark, d):
     return s.select("user_id", F.concat_ws(";", "s").alias("status"), (F.arrays_overlap("s", F.array(F.lit("click"), F.lit("view"))) & ~F.array_contains("s", "error")).alias("work"))
 
 
-@query("WITH c AS (SELECT o_custkey, min(o_orderkey) AS rep, list(o_orderkey) AS members FROM orders GROUP BY 1) SELECT unnest(members) AS o_orderkey, rep, unnest(members) = rep AS is_rep FROM c")
-def representatives(spark, d):
-    c = _t(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderkey").alias("rep"))
-    return _t(spark, d, "orders").select("o_orderkey", "o_custkey").join(c, "o_custkey").select("o_orderkey", "rep", (F.col("o_orderkey") == F.col("rep")).alias("is_rep"))
-
-
 @query("""WITH n AS (SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN 's__' WHEN p_partkey % 7 = 1 THEN p_name WHEN p_partkey % 7 = 2 THEN 's__' || split_part(p_name, ' ', 1) WHEN p_partkey % 7 = 3 THEN 's__Aa taxon ' || p_name WHEN p_partkey % 7 = 4 THEN 's__Aa sp. ' || p_brand WHEN p_partkey % 7 = 5 THEN 's__aa bb' ELSE 's__Candidatus Aa bb' END AS name FROM part)
 SELECT p_partkey, CASE WHEN name = 's__' THEN NULL WHEN NOT starts_with(name, 's__') THEN 'missing the species prefix' WHEN len(string_split(name, ' ')) <= CASE WHEN contains(lower(name), 'candidatus') THEN 2 ELSE 1 END THEN 'missing the generic name'
 WHEN contains(lower(name), ' taxon') THEN 'taxon' WHEN contains(lower(name), ' of ') THEN 'of' WHEN regexp_matches(substr(name, 4), '^[a-z]') THEN 'lower-case genus' WHEN contains(lower(name), 'sp.') THEN 'sp.' END AS reason FROM n""")
@@ -353,20 +308,6 @@ def species_validity_lax(spark, d):
 _FILES = "SELECT DISTINCT l_orderkey AS gid, CASE l_linenumber % 4 WHEN 0 THEN 'extra_fasta' WHEN 1 THEN 'fasta' WHEN 2 THEN 'protein' ELSE 'other' END AS kind, CAST(l_linenumber AS VARCHAR) AS name, max(CAST(l_partkey AS VARCHAR)) OVER (PARTITION BY l_orderkey, l_linenumber) AS hash FROM lineitem"
 
 
-@query(f"""WITH f AS ({_FILES}), a AS (SELECT * FROM f WHERE gid % 13 <> 0), b AS (SELECT gid, kind, name, CASE WHEN (gid + CAST(name AS INT)) % 9 = 0 THEN 'changed' ELSE hash END AS hash FROM f WHERE (gid + 2 * CAST(name AS INT)) % 11 <> 0),
-k AS (SELECT gid FROM a INTERSECT SELECT gid FROM b), j AS (SELECT gid, kind, a.hash AS x, b.hash AS y FROM a FULL JOIN b USING (gid, kind, name)),
-s AS (SELECT gid, bool_or(kind = 'fasta' AND (x IS NULL OR y IS NULL)) AS i, bool_or(kind = 'fasta' AND y IS NOT NULL AND x IS DISTINCT FROM y) AS m, bool_or(kind = 'protein' AND y IS NOT NULL AND x IS DISTINCT FROM y) AS p,
-bool_or(kind = 'other' AND y IS NOT NULL AND x IS DISTINCT FROM y) AS o, bool_or(kind = 'extra_fasta' AND y IS NOT NULL AND x IS DISTINCT FROM y) AS e FROM j WHERE gid IN (SELECT gid FROM k) GROUP BY 1)
-SELECT gid, CASE WHEN i THEN 'incomplete' WHEN m THEN 'modified' ELSE concat_ws(';', CASE WHEN e THEN 'new_cds_rna' END, CASE WHEN o THEN 'new_metadata' END, CASE WHEN p THEN 'new_protein' END, 'unmodified') END AS status FROM s""")
-def folder_status(spark, d):
-    n = F.col("l_linenumber") % 4
-    kind = F.when(n == 0, "extra_fasta").when(n == 1, "fasta").when(n == 2, "protein").otherwise("other")
-    f = _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("gid"), kind.alias("kind"), F.col("l_linenumber").cast("string").alias("name")).agg(F.max(F.col("l_partkey").cast("string")).alias("hash"))
-    number = F.col("name").cast("int")
-    new = f.filter((F.col("gid") + 2 * number) % 11 != 0).withColumn("hash", F.when((F.col("gid") + number) % 9 == 0, "changed").otherwise(F.col("hash")))
-    return compare.folder_status(f.filter("gid % 13 <> 0"), new, "gid").select("gid", F.concat_ws(";", "status").alias("status"))
-
-
 @query("SELECT c_custkey, CASE WHEN a.s IS NOT NULL THEN a.s ELSE b.s END AS s_suppkey FROM customer LEFT JOIN (SELECT s_nationkey AS k, min(s_suppkey) AS s FROM supplier WHERE s_suppkey % 3 = 0 GROUP BY 1) a ON a.k = c_nationkey LEFT JOIN (SELECT s_nationkey AS k, min(s_suppkey) AS s FROM supplier WHERE s_suppkey % 3 = 0 GROUP BY 1) b ON b.k = (c_nationkey + 1) % 25 WHERE coalesce(a.s, b.s) IS NOT NULL")
 def candidate_lookup(spark, d):
     known = _t(spark, d, "supplier").filter("s_suppkey % 3 = 0").select(F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("name"), "s_suppkey")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ids import accession_of_path, formatted_id
+
 
 def separator(spark: SparkSession, path: str) -> str:
     """TAB if the first line has at least as many TABs as commas, else a comma."""
@@ -31,8 +33,26 @@ def lineages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).filter("trim(value) <> ''").select(F.get(parts, F.lit(0)).alias("id"), parse(F.get(parts, F.lit(1))).alias("taxa"))
 
 
-def id_list(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).filter(~F.col("value").startswith("#") & (F.trim("value") != "")).select(F.trim(F.get(F.split("value", "[\t,]"), F.lit(0))).alias("id")).distinct()
+def id_list(spark: SparkSession, path: str, comments: bool = True) -> DataFrame:
+    """Distinct first cells; a line is cut at TABs if it has as many as commas at least, else at commas."""
+    line = F.col("value")
+    count = lambda mark: F.length(line) - F.length(F.replace(line, F.lit(mark), F.lit("")))
+    first = F.when(count("\t") >= count(","), F.substring_index(line, "\t", 1)).otherwise(F.substring_index(line, ",", 1))
+    rows = spark.read.text(path).filter(F.trim("value") != "")
+    return (rows.filter(~line.startswith("#")) if comments else rows).select(F.trim(first).alias("id")).distinct()
+
+
+def genome_paths(spark: SparkSession, path: str) -> DataFrame:
+    """id, path, formatted id (null where the file has two columns)."""
+    parts = F.split("value", "\t")
+    return spark.read.text(path).filter("trim(value) <> ''").select(*(F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(("id", "path", "formatted_id"))))
+
+
+def folders(spark: SparkSession, path: str, pattern: str = "*_assembly_report.txt") -> DataFrame:
+    """accession, path, formatted id of the genome folders under a sharded tree, by one file that each holds.  File contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path")
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    return files.select(accession_of_path(folder).alias("accession"), folder.alias("path")).distinct().withColumn("formatted_id", formatted_id(F.col("accession")))
 
 
 def gff(spark: SparkSession, path: str) -> DataFrame:
@@ -41,7 +61,8 @@ def gff(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    records = spark.read.option("lineSep", ">").text(path).filter("trim(value) <> ''")
+    """seq_id (first word of the header) and seq of every record; a ``>`` within a line opens none."""
+    records = spark.read.option("lineSep", "\n>").text(path).filter("trim(value) <> ''").select(F.regexp_replace("value", "^>", "").alias("value"))
     parts = F.split("value", r"\r?\n", 2)
     return records.select(F.get(F.split(F.get(parts, F.lit(0)), r"\s"), F.lit(0)).alias("seq_id"), F.regexp_replace(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), r"\s", "").alias("seq"))
 

@@ -1 +1 @@
-
+"""Releases that arrive file by file."""

@@ -26,4 +26,5 @@ def test_names(spark):
 def test_lineage(spark):
     fill = lambda c: F.concat_ws(";", lineage.fill_missing(lineage.parse(c)))
     assert one(spark, "d__A; g__B;", fill) == "d__A;p__;c__;o__;f__;g__B;s__"
-    assert one(spark, "p__A", lambda c: lineage.standardise(lineage.parse(c))) is None
+    rows = spark.createDataFrame([("p__A",), ("d__Bacteria;f__B",)], "line string").withColumn("t", lineage.parse(F.col("line")))
+    assert [r["t"] for r in lineage.standardise(rows, "t").collect()] == [["d__Bacteria", "p__", "c__", "o__", "f__B", "g__", "s__"]]
