@@ -65,8 +65,8 @@ _FITS = {bits: _widths(bits) for bits in range(1, 12)}
 
 def _bits_of(codes: np.ndarray, widths: np.ndarray) -> np.ndarray:
     """The bits of all codes, least significant first."""
-    every = (codes[:, None] >> np.arange(12) & 1).astype(np.uint8)
-    return every[np.arange(12) < widths[:, None]]
+    every = np.unpackbits(codes.astype("<u2").view(np.uint8).reshape(-1, 2), axis=1, bitorder="little")
+    return every[np.arange(16) < widths[:, None]]
 
 
 def lzw_encode(data: bytes, bits: int = 8) -> bytes:
@@ -75,25 +75,24 @@ def lzw_encode(data: bytes, bits: int = 8) -> bytes:
     codes: list[int] = [clear]
     sizes: list[int] = []  # codes of each stretch, its closing clear or end code included
     table: dict[int, int] = {}
-    following, begun, prefix = end + 1, 1, -1
-    for value in data:
-        if prefix < 0:
-            prefix = value
-            continue
+    known, put = table.get, codes.append
+    following, begun, prefix = end + 1, 1, data[0] if data else -1
+    for value in data[1:]:
         key = prefix << 8 | value
-        code = table.get(key)
+        code = known(key)
         if code is not None:
             prefix = code
             continue
-        codes.append(prefix)
+        put(prefix)
         prefix = value
         if following < 4096:
             table[key] = following
             following += 1
         else:
-            codes.append(clear)
+            put(clear)
             sizes.append(len(codes) - begun)
             table, following, begun = {}, end + 1, len(codes)
+            known = table.get
     if prefix >= 0:
         codes.append(prefix)
     codes.append(end)
@@ -107,7 +106,7 @@ def lzw_decode(data: bytes, bits: int, n_pixels: int) -> np.ndarray:
     """Palette indices of one LZW code stream, n_pixels at most."""
     clear, end = 1 << bits, (1 << bits) + 1
     first = [bytes([i]) for i in range(clear)] + [b"", b""]
-    stream = np.unpackbits(np.frombuffer(data, np.uint8), bitorder="little")
+    windows = np.ndarray(len(data) + 1, "<u4", data + bytes(4), strides=(1,))
     fits = _FITS[bits]
     out: list[bytes] = []
     size = at = seen = 0  # bytes out, bit to read, codes since the clear code
@@ -115,27 +114,36 @@ def lzw_decode(data: bytes, bits: int, n_pixels: int) -> np.ndarray:
     while size < n_pixels:
         widths = fits[seen:] if seen < len(fits) else np.full(4096, 12)
         stops = at + np.cumsum(widths)
-        n = int(np.searchsorted(stops, len(stream), side="right"))
+        n = int(np.searchsorted(stops, 8 * len(data), side="right"))
         if not n:
             break
-        places = np.minimum((stops[:n] - widths[:n])[:, None] + np.arange(12), len(stream) - 1)
-        codes = (np.where(np.arange(12) < widths[:n, None], stream[places], 0) << np.arange(12)).sum(axis=1)
+        starts = stops[:n] - widths[:n]
+        codes = windows[starts >> 3] >> (starts & 7).astype(np.uint32) & ((1 << widths[:n]) - 1).astype(np.uint32)
         stop = np.flatnonzero((codes == clear) | (codes == end))
         used = int(stop[0]) if len(stop) else n
-        grown = len(table)
-        for code in codes[:used].tolist():
-            if code < grown:
+        part, begun = codes[:used].tolist(), len(out)
+        if part and not last:
+            if part[0] > end:
+                raise ValueError("broken LZW stream")
+            last = table[part[0]]
+            out.append(last)
+            part = part[1:]
+        room = 4096 - len(table)
+        grow, put = table.append, out.append
+        for code in part[:room]:
+            try:
                 entry = table[code]
-            elif code == grown and last:
+            except IndexError:
+                if code > len(table):
+                    raise ValueError("broken LZW stream") from None
                 entry = last + last[:1]
-            else:
-                raise ValueError("broken LZW stream")
-            if last and grown < 4096:
-                table.append(last + entry[:1])
-                grown += 1
-            out.append(entry)
-            size += len(entry)
+            grow(last + entry[:1])
+            put(entry)
             last = entry
+        for code in part[room:]:
+            last = table[code]
+            put(last)
+        size += sum(map(len, out[begun:]))
         at, seen = int(stops[used - 1]) if used else at, seen + used
         if len(stop):
             if codes[used] == end:
