@@ -3,14 +3,21 @@
 1. Exact copies of whole texts are set aside; their windows all repeat those of the first text.
 2. Every window is assigned to an anchor (see ``anchors``).  A context is the stretch of text
    that covers the windows of one anchor.  An anchor that occurs once ends here.
-3. Equal contexts of equal anchors collapse to the first of them (pre-aggregation by a 128-bit
-   key); the windows of all later ones repeat it.
-4. Different contexts of one anchor may still share windows.  They go to memory-sized shards, a
-   hot anchor's to several, where a suffix structure (a suffix array or suffix trees, given by the
-   caller) finds windows that occur more than once.
-5. Windows that a shard of a hot anchor leaves as first are merged across shards: sorted digests,
-   cut into ranges and matched by binary search.
-6. All removed stretches of a document meet at its text.
+3. Equal contexts of equal anchors collapse to the first of them (pre-aggregation by the anchor's
+   64-bit hash and a 64-bit hash of the context: among n contexts two different ones meet with a
+   probability of n**2 / 2**129 at most); the windows of all later ones repeat it.
+4. Different contexts of one anchor may still share windows.  They go to memory-sized groups, where
+   a suffix structure (a suffix array or suffix trees, given by the caller) finds windows that
+   occur more than once.  Hot anchors are split:
+   * Words: by longer prefixes.  The anchor's words begin all suffixes that are read from it on.
+     Of a hot anchor the windows are cut into PARTS by their distance from it; the windows of one
+     part share more than the anchor, all but a few words, and this longer string, the prefix of
+     the suffixes that start at it, is their group.  Windows of a group that is still too large
+     are grouped by their whole length, where nothing is left for a tree to find.  Equal windows
+     always share their group.
+   * Bytes: contexts are dealt to shards by their hash, and windows that a shard leaves as first
+     are merged across shards: sorted digests, cut into ranges and matched by binary search.
+5. All removed stretches of a document meet at its text.
 
 Step 4 compares true contexts; windows of other anchors cannot be equal to them.  All steps are
 aggregations and equi-joins by anchor or document, with written tables in between, and none
@@ -28,11 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import anchors, byte_units, word_units
+from .anchors import anchors, byte_units, prefix_hash, slice_hash, word_units
 from .common import Scratch, id_key, map_rows, ship_package
 
 #: Contexts of a shard of a hot anchor, bytes of a shard's structure, ranges of the merge, rows of the copies that may be broadcast.
 HOT, SHARD_BYTES, RANGES, BROADCAST_ROWS = 512, 1 << 20, 1024, 200_000
+#: Parts of a hot anchor's windows, and contexts of a group of one longer prefix that a tree takes.
+PARTS, MOST = 4, 20_000
 
 
 @dataclass(frozen=True)
@@ -128,11 +137,31 @@ def removed_spans(docs: DataFrame, kind: Kind, structure: Structure) -> tuple[Da
             units, starts, stops = _units(kind, text)
             low = np.array([w["p"] >> 20 for w in wanted], np.int64)
             n = np.array([w["p"] >> 1 & 0x7FFFF for w in wanted], np.int64)
-            for w, at, count, context in zip(wanted, low.tolist(), n.tolist(), _slices(kind, text, starts, stops, low, low + n - 1 + kind.span)):
-                yield w["h"], w["c"] % w["shards"], w["shards"], w["c"], doc_id, x, at, count, context
-
-    contexts = map_rows(own.join(wanted, ["_id", "_x"]), cut, "h long, shard long, shards long, c long, _id long, _x long, low long, n int, context binary")
-    contexts = contexts.repartition("h", "shard").sortWithinPartitions("h", "shard")
+            sums = prefix_hash(units) if kind.by_words and any(w["shards"] > 1 for w in wanted) else None
+            keys, first, count = [], [], []
+            for w, at, many in zip(wanted, low.tolist(), n.tolist()):
+                if kind.by_words and w["shards"] > 1:
+                    for g, start, size in _prefixes(kind, sums, w["h"], at, many):
+                        keys.append((g, 0, 1, w["h"], w["c"], start - at))
+                        first.append(start)
+                        count.append(size)
+                else:
+                    keys.append((w["h"], w["c"] % w["shards"], w["shards"], w["h"], w["c"], 0))
+                    first.append(at)
+                    count.append(many)
+            first, count = np.array(first, np.int64), np.array(count, np.int64)
+            for key, at, many, context in zip(keys, first.tolist(), count.tolist(), _slices(kind, text, starts, stops, first, first + count - 1 + kind.span)):
+                yield *key, doc_id, x, at, many, context
+
+    contexts = map_rows(own.join(wanted, ["_id", "_x"]), cut, "g long, shard long, shards long, h long, c long, shift int, _id long, _x long, low long, n int, context binary")
+    whole_length = None
+    if kind.by_words:
+        contexts = scratch.save(contexts)
+        large = scratch.save(contexts.groupBy("g").count().filter(F.col("count") > MOST).select("g"))
+        if not large.isEmpty():
+            whole_length = _by_whole_length(kind, contexts.join(large, "g", "left_semi"), scratch)
+            contexts = contexts.join(large, "g", "left_anti")
+    contexts = contexts.repartition("g", "shard").sortWithinPartitions("g", "shard")
 
     def build(rows: Iterator[tuple]) -> Iterator[tuple]:
         held: list[tuple] = []
@@ -142,12 +171,14 @@ def removed_spans(docs: DataFrame, kind: Kind, structure: Structure) -> tuple[Da
                 yield from _shard(kind, structure, held)
                 held, size = [], 0
             held.append(row)
-            size += len(row[8])
+            size += len(row[-1])
             last = row[:2]
         if held:
             yield from _shard(kind, structure, held)
 
     out = scratch.save(map_rows(contexts, build, "h long, c long, a int, b int, bucket int, data binary"))
+    if whole_length is not None:
+        out = out.unionByName(whole_length.select("*", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("data")))
 
     # 5. Merge across the shards of hot anchors.
     left = out.filter("bucket is not null").select("bucket", "data").repartition("bucket").sortWithinPartitions("bucket")
@@ -180,6 +211,33 @@ def removed_spans(docs: DataFrame, kind: Kind, structure: Structure) -> tuple[Da
     return spans, repeated_ids
 
 
+def _prefixes(kind: Kind, sums: np.ndarray, h: int, low: int, n: int) -> Iterator[tuple[int, int, int]]:
+    """(key, first window, windows) of the parts of one hot context: what all windows at their distances from the anchor share is the key."""
+    at = np.arange(low + n - 1, low + kind.span - kind.k + 1)
+    anchor = int(at[np.flatnonzero(slice_hash(sums, at, at + kind.k).view(np.int64) == h)[-1]])
+    edge = np.linspace(0, kind.span - kind.k + 1, PARTS + 1).astype(int).tolist()
+    for part, (near, stop) in enumerate(zip(edge, edge[1:])):
+        far = stop - 1  # the part's windows begin near to far units before the anchor
+        first, last = max(low, anchor - far), min(low + n - 1, anchor - near)
+        if first <= last:
+            shared = slice_hash(sums, np.array([anchor - near]), np.array([anchor - far + kind.span]))
+            yield int((shared + np.uint64(part)).view(np.int64)[0]), first, last - first + 1
+
+
+def _by_whole_length(kind: Kind, contexts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(h, c, a, b): windows of the contexts that a smaller id holds too, by 128-bit digests of the windows."""
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for h, c, shift, doc_id, n, context in rows:
+            for a, piece in enumerate(_windows(kind, [context], np.zeros(n, np.int64), np.arange(n))):
+                digest = xxhash.xxh3_128_intdigest(piece)
+                yield (digest >> 64) - 2**63, (digest & (2**64 - 1)) - 2**63, h, c, a + shift, doc_id
+
+    windows = scratch.save(map_rows(contexts.select("h", "c", "shift", "_id", "n", "context"), run, "d long, e long, h long, c long, a int, _id long"))
+    least = windows.groupBy("d", "e").agg(F.min("_id").alias("least"))
+    return scratch.save(windows.join(least, ["d", "e"]).filter("_id > least").select("h", "c", "a", (F.col("a") + kind.span).cast("int").alias("b")))
+
+
 def text_key(repeated_ids: bool):
     """Tells rows of one id apart; constant where ids do not repeat."""
     return F.coalesce(F.xxhash64("text"), F.lit(0)) if repeated_ids else F.lit(0).cast("long")
@@ -209,9 +267,8 @@ def _runs(row: np.ndarray, offset: np.ndarray) -> Iterator[tuple[int, int, int]]
 
 
 def _shard(kind: Kind, structure: Structure, held: list[tuple]) -> Iterator[tuple]:
-    h, c, ids, x, low = (np.array([r[i] for r in held], np.int64) for i in (0, 3, 4, 5, 6))
-    n = np.array([r[7] for r in held], np.int64)
-    contexts = [r[8] for r in held]
+    h, c, shift, ids, x, low, n = (np.array([r[i] for r in held], np.int64) for i in range(3, 10))
+    contexts = [r[10] for r in held]
     group = structure(kind, contexts, n)
     row = np.repeat(np.arange(len(held)), n)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
@@ -221,7 +278,7 @@ def _shard(kind: Kind, structure: Structure, held: list[tuple]) -> Iterator[tupl
     np.minimum.at(least, group, rank)
     later = rank > least[group]
     for r, a, b in _runs(row[later], offset[later]):
-        yield int(h[r]), int(c[r]), a, b + kind.span, None, None
+        yield int(h[r]), int(c[r]), int(a + shift[r]), int(b + shift[r]) + kind.span, None, None
     hot = np.array([r[2] > 1 for r in held])[row] & ~later
     if hot.any():
         rows, offsets = row[hot], offset[hot]

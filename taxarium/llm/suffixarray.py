@@ -4,13 +4,13 @@ Each shard's contexts are one text.  Suffixes end with their context.  ``suffix_
 eight bytes and then doubles the compared depth, re-sorting only groups that are still tied, until
 the depth reaches the end of the longest context.  ``common_prefixes`` runs Kasai's scan over all contexts in
 step: going one place to the right keeps all but one of the bytes in common.  Windows are equal
-where neighbours in the array have at least their length in common.  ``repeats`` makes the shards
-and merges across them by binary search.
+where neighbours in the array have at least their length in common.  ``repeats`` makes the shards;
+the windows that several shards of a hot anchor leave as first are matched by binary search of
+their sorted digests, not of the suffixes themselves.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,7 +133,3 @@ def digests(result: DataFrame) -> DataFrame:
     from pyspark.sql import functions as F
 
     return result.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
-
-
-def kept_digest(kept: bytes) -> str:
-    return hashlib.sha256(kept).hexdigest()

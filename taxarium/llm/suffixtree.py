@@ -1,11 +1,13 @@
 """Substring deduplication of words by prefix-partitioned suffix trees.
 
-Suffixes (window starts) that share an anchor share a prefix of content; ``repeats`` deals them by
-it into memory-sized groups and lengthens the prefix of a hot group until it fits.  Within a group
-the tree grows top-down, all nodes of a level at once: the suffixes of a node are split by their
-next word, and a node with one suffix is a leaf and stops.  Nodes that still hold several suffixes
-at the window length are the deep internal nodes: their suffixes are equal windows, and the runs
-of such windows are the maximal repeats.
+Suffixes meet by their prefix: ``repeats`` reads them from sampled places on (the anchors, whose
+ten words are the prefix of a group) and lengthens the prefix of a hot group, to some forty words
+and at last to the whole window, until a group fits.  Within a group the tree grows top-down, all
+nodes of a level at once: the suffixes of a node are split by their next word, and a node with one
+suffix is a leaf and stops.  Nodes that still hold several suffixes at the window length are the
+deep internal nodes: their suffixes are equal windows, and the runs of such windows are the
+maximal repeats.  Words are compared by 64-bit hashes; equal contexts of one anchor are one entry
+of the tree, with the first document that holds it.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from taxarium.llm import chat, decontaminate, gif, language, licenses, mixing, neardup, simhash, suffixarray, suffixtree, tokens
+from taxarium.llm import chat, decontaminate, gif, language, licenses, mixing, neardup, repeats, simhash, suffixarray, suffixtree, tokens
 from taxarium.llm.queries import op1_chat
 
 SF = "/root/testdata/sf0.001"
@@ -51,6 +51,34 @@ def test_suffix_trees(docs, rows):
         assert got[doc_id]["kept"] == " ".join(x for x, g in zip(w, gone) if not g), doc_id
 
 
+@pytest.mark.parametrize("most", [20_000, 3])
+def test_suffix_trees_of_hot_prefixes(spark, monkeypatch, most):
+    """Anchors with many contexts: longer prefixes, and groups of whole windows where those are still too large."""
+    monkeypatch.setattr(repeats, "HOT", 4)
+    monkeypatch.setattr(repeats, "MOST", most)
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(40)}"
+    passages = [[word() for _ in range(n)] for n in (12, 30, 47, 60, 75)]
+    texts = []
+    for i in range(160):
+        w = [word() for _ in range(rng.randrange(60))]
+        for _ in range(rng.randint(1, 3)):
+            cut = rng.choice(passages)
+            w += cut[rng.randrange(3) :] + [rng.choice("xyz") for _ in range(rng.randrange(4))] + [word() for _ in range(rng.randrange(45))]
+        texts.append((i, " ".join(w)))
+    got, seen, gone_in_all = by_id(suffixtree.dedup_words(spark.createDataFrame(texts, "doc_id long, text string"))), {}, 0
+    for doc_id, text in texts:
+        w = text.split()
+        gone = np.zeros(len(w), bool)
+        keys = [tuple(w[i : i + 50]) for i in range(len(w) - 49)]
+        for i, k in enumerate(keys):
+            gone[i : i + 50] |= k in seen
+        seen.update(dict.fromkeys(keys))
+        gone_in_all += int(gone.sum())
+        assert got[doc_id]["kept"] == " ".join(x for x, g in zip(w, gone) if not g), doc_id
+    assert gone_in_all > 1000
+
+
 def test_suffix_arrays(docs, rows):
     got, seen = by_id(suffixarray.dedup_bytes(docs)), set()
     for doc_id, text, *_ in sorted(rows):
