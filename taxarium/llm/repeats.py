@@ -15,8 +15,11 @@
      the suffixes that start at it, is their group.  Windows of a group that is still too large
      are grouped by their whole length, where nothing is left for a tree to find.  Equal windows
      always share their group.
-   * Bytes: contexts are dealt to shards by their hash, and windows that a shard leaves as first
-     are merged across shards: sorted digests, cut into ranges and matched by binary search.
+   * Bytes: contexts are dealt to shards by their hash.  The windows that a shard leaves as first
+     stand in its suffix array in order; these sorted runs are merged across the anchor's shards,
+     two by two, by binary search of the suffixes of one run in the other.  Equal windows stand
+     side by side in the merged order.  A merge takes the windows of one lot (a hash of the
+     window), of which an anchor has as many as shards, so a lot is about as large as a shard.
 5. All removed stretches of a document meet at its text.
 
 Step 4 compares true contexts; windows of other anchors cannot be equal to them.  All steps are
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +42,8 @@ from pyspark.sql import functions as F
 from .anchors import anchors, byte_units, prefix_hash, slice_hash, word_units
 from .common import Scratch, id_key, map_rows, ship_package
 
-#: Contexts of a shard of a hot anchor, bytes of a shard's structure, ranges of the merge, rows of the copies that may be broadcast.
-HOT, SHARD_BYTES, RANGES, BROADCAST_ROWS = 512, 1 << 20, 1024, 200_000
+#: Contexts of a shard of a hot anchor, bytes of a shard's structure, rows of the copies that may be broadcast.
+HOT, SHARD_BYTES, BROADCAST_ROWS = 512, 1 << 20, 200_000
 #: Parts of a hot anchor's windows, and contexts of a group of one longer prefix that a tree takes.
 PARTS, MOST = 4, 20_000
 
@@ -54,7 +58,7 @@ class Kind:
     within: bool
 
 
-#: From a shard's concatenated contexts: group numbers of the windows (equal windows, equal numbers).
+#: From a shard's concatenated contexts: group numbers of the windows (equal windows, equal numbers; of bytes, ascending as the windows do).
 #: Arguments: kind, contexts, window counts.
 Structure = Callable[[Kind, list[bytes], np.ndarray], np.ndarray]
 
@@ -176,26 +180,18 @@ def removed_spans(docs: DataFrame, kind: Kind, structure: Structure) -> tuple[Da
         if held:
             yield from _shard(kind, structure, held)
 
-    out = scratch.save(map_rows(contexts, build, "h long, c long, a int, b int, bucket int, data binary"))
+    out = scratch.save(map_rows(contexts, build, "h long, c long, a int, b int, lot int, data binary"))
     if whole_length is not None:
-        out = out.unionByName(whole_length.select("*", F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("data")))
+        out = out.unionByName(whole_length.select("*", F.lit(None).cast("int").alias("lot"), F.lit(None).cast("binary").alias("data")))
 
     # 5. Merge across the shards of hot anchors.
-    left = out.filter("bucket is not null").select("bucket", "data").repartition("bucket").sortWithinPartitions("bucket")
+    left = out.filter("lot is not null").select("h", "lot", "data").repartition("h", "lot").sortWithinPartitions("h", "lot")
 
     def merge(rows: Iterator[tuple]) -> Iterator[tuple]:
-        runs: list[np.ndarray] = []
-        last = None
-        for bucket, data in rows:
-            if runs and bucket != last:
-                yield from _merge(kind, runs)
-                runs = []
-            runs.append(np.frombuffer(data, _LEFT))
-            last = bucket
-        if runs:
-            yield from _merge(kind, runs)
-
-    masks = out.filter("bucket is null").select("h", "c", "a", "b").unionByName(map_rows(left, merge, "h long, c long, a int, b int"))
+        for (h, _), group in groupby(rows, lambda row: row[:2]):
+            yield from _merge(kind, h, [np.frombuffer(data, _left(kind)) for _, _, data in group])
+
+    masks = out.filter("lot is null").select("h", "c", "a", "b").unionByName(map_rows(left, merge, "h long, c long, a int, b int"))
     masks = masks.groupBy("h", "c").agg(F.collect_list(F.col("a").cast("long") * (1 << 24) + F.col("b") - F.col("a")).alias("mask"))
     leads = scratch.save(leads.join(masks, ["h", "c"], "left"))
 
@@ -243,9 +239,9 @@ def text_key(repeated_ids: bool):
     return F.coalesce(F.xxhash64("text"), F.lit(0)) if repeated_ids else F.lit(0).cast("long")
 
 
-#: A window that its shard holds as first: two halves of its digest, anchor, context, document, place, offset in the context.
-_LEFT = np.dtype([("d", "<u8"), ("e", "<u8"), ("h", "<i8"), ("c", "<i8"), ("id", "<i8"), ("x", "<i8"), ("at", "<i8"), ("a", "<i4")])
-_SPLITS = (np.arange(1, RANGES, dtype=np.uint64) * np.uint64(2**64 // RANGES)).astype(np.uint64)
+def _left(kind: Kind) -> np.dtype:
+    """A window that its shard holds as first: its bytes, context, document, place, offset in the context."""
+    return np.dtype([("w", f"S{kind.span}"), ("c", "<i8"), ("id", "<i8"), ("x", "<i8"), ("at", "<i8"), ("a", "<i4")])
 
 
 def _order(ids: np.ndarray, x: np.ndarray, at: np.ndarray, within: bool) -> np.ndarray:
@@ -279,19 +275,27 @@ def _shard(kind: Kind, structure: Structure, held: list[tuple]) -> Iterator[tupl
     later = rank > least[group]
     for r, a, b in _runs(row[later], offset[later]):
         yield int(h[r]), int(c[r]), int(a + shift[r]), int(b + shift[r]) + kind.span, None, None
-    hot = np.array([r[2] > 1 for r in held])[row] & ~later
-    if hot.any():
-        rows, offsets = row[hot], offset[hot]
-        left = np.empty(len(rows), _LEFT)
-        for i, (r, pieces) in enumerate(zip(rows.tolist(), _windows(kind, contexts, rows, offsets))):
-            digest = xxhash.xxh3_128_intdigest(pieces)
-            left["d"][i], left["e"][i] = digest >> 64, digest & (2**64 - 1)
-        left["h"], left["c"], left["id"], left["x"], left["at"], left["a"] = h[rows], c[rows], ids[rows], x[rows], at[hot], offsets
-        left = left[np.argsort(left["d"], kind="stable")]
-        edge = np.searchsorted(left["d"], _SPLITS)
-        for bucket, (i, j) in enumerate(zip(np.r_[0, edge].tolist(), np.r_[edge, len(left)].tolist())):
-            if j > i:
-                yield None, None, None, None, bucket, left[i:j].tobytes()
+    many = np.array([r[2] for r in held], np.int64)
+    hot = np.flatnonzero((many[row] > 1) & ~later)
+    if len(hot):
+        yield from _sorted_runs(kind, contexts, h[row[hot]], many[row[hot]], group[hot], row[hot], offset[hot], c[row[hot]], ids[row[hot]], x[row[hot]], at[hot])
+
+
+def _sorted_runs(kind: Kind, contexts: list[bytes], h, many, group, row, offset, c, ids, x, at) -> Iterator[tuple]:
+    """The windows of each anchor and lot in the order of the suffix array."""
+    joined = b"".join(contexts)
+    text = np.frombuffer(joined, np.uint8)
+    start = (np.cumsum([0] + [len(part) for part in contexts])[:-1])[row] + offset
+    lot = (slice_hash(prefix_hash(byte_units(joined)), start, start + kind.span) % many.astype(np.uint64)).astype(np.int64)
+    order = np.lexsort((group, lot, h))
+    edge = np.flatnonzero(np.r_[True, (h[order][1:] != h[order][:-1]) | (lot[order][1:] != lot[order][:-1]), True])
+    every = np.lib.stride_tricks.sliding_window_view(text, kind.span)
+    for i, j in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        run = order[i:j]
+        left = np.empty(len(run), _left(kind))
+        left["w"] = every[start[run]].view(f"S{kind.span}")[:, 0]
+        left["c"], left["id"], left["x"], left["at"], left["a"] = c[run], ids[run], x[run], at[run], offset[run]
+        yield int(h[run[0]]), None, None, None, int(lot[run[0]]), left.tobytes()
 
 
 def _windows(kind: Kind, contexts: list[bytes], rows: np.ndarray, offsets: np.ndarray) -> Iterator[bytes]:
@@ -305,22 +309,35 @@ def _windows(kind: Kind, contexts: list[bytes], rows: np.ndarray, offsets: np.nd
         yield b" ".join(parts[a : a + kind.span])
 
 
-def _merge(kind: Kind, runs: list[np.ndarray]) -> Iterator[tuple]:
-    """Windows of one digest range that another shard holds earlier."""
-    known = np.unique(np.concatenate([r["d"] for r in runs]))
+def _merge(kind: Kind, h: int, runs: list[np.ndarray]) -> Iterator[tuple]:
+    """Windows of one lot that another shard holds earlier."""
     rows = np.concatenate(runs)
-    place = np.concatenate([np.searchsorted(known, r["d"]) for r in runs])
-    rank = _order(rows["id"], rows["x"], rows["at"], kind.within)
-    order = np.lexsort((rank, rows["e"], place))
-    rows, place, rank = rows[order], place[order], rank[order]
-    head = np.r_[True, (place[1:] != place[:-1]) | (rows["e"][1:] != rows["e"][:-1])]
-    least = rank[np.flatnonzero(head)][np.cumsum(head) - 1]
-    gone = rows[rank > least]
-    gone = gone[np.lexsort((gone["a"], gone["c"], gone["h"]))]
-    for h, c, a in zip(gone["h"].tolist(), gone["c"].tolist(), gone["a"].tolist()):
+    stop = np.cumsum([len(r) for r in runs])
+    merged = [(np.ascontiguousarray(r["w"]), np.arange(j - len(r), j)) for r, j in zip(runs, stop.tolist())]
+    while len(merged) > 1:
+        merged = [_interleave(*pair) for pair in zip(merged[::2], merged[1::2])] + merged[len(merged) & ~1 :]
+    windows, order = merged[0]
+    rank = _order(rows["id"], rows["x"], rows["at"], kind.within)[order]
+    head = np.r_[True, windows[1:] != windows[:-1]]
+    least = np.minimum.reduceat(rank, np.flatnonzero(head))[np.cumsum(head) - 1]
+    gone = rows[order[rank > least]]
+    for c, a in zip(gone["c"].tolist(), gone["a"].tolist()):
         yield h, c, a, a + kind.span
 
 
+def _interleave(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two sorted runs of (windows, row numbers) as one: the shorter is searched in the longer."""
+    if len(a[0]) < len(b[0]):
+        a, b = b, a
+    place = np.searchsorted(a[0], b[0], side="right") + np.arange(len(b[0]))
+    rest = np.ones(len(a[0]) + len(b[0]), bool)
+    rest[place] = False
+    out = tuple(np.empty(len(rest), part.dtype) for part in a)
+    for new, x, y in zip(out, a, b):
+        new[rest], new[place] = x, y
+    return out
+
+
 def apply_spans(docs: DataFrame, spans: DataFrame, repeated_ids: bool) -> DataFrame:
     """docs with _id, _x, spans and copy; all rows stay."""
     keyed = docs.select(id_key().alias("_id"), text_key(repeated_ids).alias("_x"), "doc_id", "text")

@@ -5,8 +5,8 @@ eight bytes and then doubles the compared depth, re-sorting only groups that are
 the depth reaches the end of the longest context.  ``common_prefixes`` runs Kasai's scan over all contexts in
 step: going one place to the right keeps all but one of the bytes in common.  Windows are equal
 where neighbours in the array have at least their length in common.  ``repeats`` makes the shards;
-the windows that several shards of a hot anchor leave as first are matched by binary search of
-their sorted digests, not of the suffixes themselves.
+the windows that several shards of a hot anchor leave as first, sorted as in their suffix arrays,
+are merged by binary search of the suffixes of one shard in those of another.
 """
 
 from __future__ import annotations

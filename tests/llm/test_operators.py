@@ -91,6 +91,61 @@ def test_suffix_arrays(docs, rows):
         assert bytes(got[doc_id]["kept"]) == np.frombuffer(t, np.uint8)[~gone].tobytes(), doc_id
 
 
+def test_suffix_arrays_of_hot_anchors(spark, monkeypatch):
+    """Anchors with many contexts in several shards: what shards leave as first is merged across them."""
+    monkeypatch.setattr(repeats, "HOT", 4)
+    rng = random.Random(13)
+    noise = lambda n: "".join(rng.choice("ab\0ß") for _ in range(n))
+    passages = [noise(n) for n in (30, 60, 90, 130, 200)]
+    texts = []
+    for i in range(200):
+        t = noise(rng.randrange(80))
+        for _ in range(rng.randint(1, 3)):
+            t += rng.choice(passages)[rng.randrange(3) :] + rng.choice("xyz") * rng.randrange(3) + noise(rng.randrange(50))
+        texts.append((i, t))
+    got, seen, gone_in_all = by_id(suffixarray.dedup_bytes(spark.createDataFrame(texts, "doc_id long, text string"))), set(), 0
+    for doc_id, text in texts:
+        t = text.encode()
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - 99):
+            if t[i : i + 100] in seen:
+                gone[i : i + 100] = True
+            seen.add(t[i : i + 100])
+        gone_in_all += int(gone.sum())
+        assert bytes(got[doc_id]["kept"]) == np.frombuffer(t, np.uint8)[~gone].tobytes(), doc_id
+    assert gone_in_all > 1000
+
+
+def test_merge_of_sorted_runs():
+    """Shards' runs are sorted suffixes; merging by binary search finds the windows that another shard holds earlier."""
+    kind, rng = suffixarray.KIND, random.Random(3)
+    middle = bytes(rng.choice(b"\0a\xff") for _ in range(97))
+    held, lots = [], {}
+    for c in range(60):
+        context = bytes(rng.choice(b"\0\xff") for _ in range(3)) + middle + bytes(rng.choice(b"\0\xff") for _ in range(3))
+        held.append((0, c % 5, 5, 7, c, 0, c, 0, 0, len(context) - 99, context))
+    gone = []
+    for shard in range(5):
+        for h, c, a, b, lot, data in repeats._shard(kind, suffixarray.window_groups, [r for r in held if r[1] == shard]):
+            if data is None:
+                gone += [(c, i) for i in range(a, b - 99)]
+            else:
+                run = np.frombuffer(data, repeats._left(kind))
+                windows = [bytes(w).ljust(kind.span, b"\0") for w in run["w"].tolist()]
+                assert windows == sorted(set(windows))
+                lots.setdefault(lot, []).append(run)
+    alone = len(gone)
+    for runs in lots.values():
+        gone += [(c, a) for h, c, a, b in repeats._merge(kind, 7, runs)]
+    seen, expected = set(), []
+    for row in held:
+        for a in range(row[9]):
+            w = row[10][a : a + 100]
+            expected += [(row[4], a)] * (w in seen)
+            seen.add(w)
+    assert sorted(gone) == expected and 0 < alone < len(gone)
+
+
 def test_repeated_ids_and_empty_table(spark, docs):
     twice = spark.createDataFrame([(1, "ab " * 80), (1, "ab " * 80), (None, "cd " * 80), (2, "cd " * 80)], "doc_id long, text string")
     got = sorted((r["doc_id"] or -1, r["n_removed"]) for r in suffixtree.dedup_words(twice).collect())
