@@ -2,8 +2,10 @@
 
 Within a source every document is expected ``target / source_size`` times.  Documents are ordered
 by size class, a spread of their ids, size and id; the prefix sum of expected copies plus one
-offset per source crosses an integer once per copy.  Prefix sums run in two steps: over the few
-cells (source, size class, spread), then within a cell, so that a hot source is spread out.
+offset per source crosses an integer once per copy.  Prefix sums run in three steps: over the
+size classes of a source, over the cells (source, size class, spread) of a class, then within a
+cell, so that a hot source is spread out.  The cells are a written table, from which the sizes of
+the sources come as well; the texts are read twice, for the cells and for the rows.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed
+from .common import Scratch, packed
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -31,7 +33,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     source; the excess is reshared by weight, which is water-filling: by ascending cap per weight,
     a source is full when its cap is at most its share of what remains.
     """
-    totals = sizes.groupBy("_source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
+    totals = sizes.groupBy("_source").agg(F.sum("size").alias("source_size"))
     by_name = Window.orderBy(F.col("_source").asc())
     weights = F.array(*map(F.lit, WEIGHTS))
     s = totals.withColumn("w", F.get(weights, (F.row_number().over(by_name) - 1) % len(WEIGHTS)).cast("long")).withColumn("cap", F.col("source_size") * CAP)
@@ -54,11 +56,15 @@ def _ranked(docs: DataFrame) -> DataFrame:
     rows = packed(docs, source.alias("_source"), "doc_id", _size())
     rows = rows.withColumn("_class", bits * 16 + F.expr("shiftright(__size, cast(greatest(length(bin(__size)) - 5, 0) as int)) & 15")).withColumn("_spread", spread)
     cell = ["_source", "_class", "_spread"]
-    cells = rows.groupBy(*cell).agg(F.count("*").alias("n"))
-    targets = source_targets(rows.select("_source", F.col("__size").alias("size")))
-    earlier = Window.partitionBy("_source").orderBy("_class", "_spread").rowsBetween(Window.unboundedPreceding, -1)
-    # The cells number at most classes x SPREAD a source, whatever the number of documents.
-    cells = cells.withColumn("__before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    # At most classes x SPREAD cells a source, whatever the number of documents.
+    cells = Scratch(docs.sparkSession, "mix").save(rows.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("__size").alias("size")))
+    targets = source_targets(cells)
+    earlier = lambda group, order: Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda group, order: F.coalesce(F.sum("n").over(earlier(group, order)), F.lit(0))
+    classes = cells.groupBy("_source", "_class").agg(F.sum("n").alias("n"))
+    classes = classes.select("_source", "_class", before(["_source"], "_class").alias("in_classes"))
+    cells = cells.select(*cell, before(["_source", "_class"], "_spread").alias("in_class")).join(classes, ["_source", "_class"])
+    cells = cells.select(*cell, (F.col("in_classes") + F.col("in_class")).alias("__before"))
     cells = cells.join(targets.toDF("_source", "__source_size", "__target", "__rate", "__offset"), "_source")
     within = Window.partitionBy(*cell).orderBy("__size", "doc_id")
     ranked = rows.withColumn("__rank", F.row_number().over(within)).join(cells, cell)
