@@ -220,11 +220,12 @@ def strain_canonical(spark, d):
     return _t(spark, d, "part").select("p_partkey", ids.standard_strain(a).alias("standard"), ids.canonical_strain(b).alias("canonical"), ids.is_strain_id(F.col("p_brand")).alias("is_id"))
 
 
-@query("""WITH a AS (SELECT p_size AS k, list_sort(list_distinct(list(p_brand))) AS x FROM part WHERE p_partkey % 5 = 0 GROUP BY 1), b AS (SELECT p_size AS k, list_sort(list_distinct(list(p_brand))) AS y FROM part WHERE p_partkey % 7 = 0 GROUP BY 1)
+@query("""WITH a AS (SELECT p_size AS k, list_sort(list_distinct(list(p_brand || '-' || p_partkey % 5))) AS x FROM part GROUP BY 1), b AS (SELECT p_size AS k, list_sort(list_distinct(list(p_brand || '-' || p_partkey % 7))) AS y FROM part GROUP BY 1)
 SELECT a.k AS k, array_to_string(CASE WHEN list_has_any(x, y) THEN list_sort(list_distinct(list_concat(x, y))) ELSE x END, ';') AS expanded FROM a LEFT JOIN b USING (k)""")
 def strain_overlap_expand(spark, d):
     part = _t(spark, d, "part")
-    sets = lambda m, c: part.filter(f"p_partkey % {m} = 0").groupBy(F.col("p_size").alias("k")).agg(F.array_sort(F.collect_set("p_brand")).alias(c))
+    strain = lambda m: F.concat("p_brand", F.lit("-"), (F.col("p_partkey") % m).cast("string"))
+    sets = lambda m, c: part.groupBy(F.col("p_size").alias("k")).agg(F.array_sort(F.collect_set(strain(m))).alias(c))
     return sets(5, "x").join(sets(7, "y"), "k", "left").select("k", F.concat_ws(";", compare.expand_if_shared(F.col("x"), F.col("y"))).alias("expanded"))
 
 
@@ -308,9 +309,11 @@ def species_validity_lax(spark, d):
 _FILES = "SELECT DISTINCT l_orderkey AS gid, CASE l_linenumber % 4 WHEN 0 THEN 'extra_fasta' WHEN 1 THEN 'fasta' WHEN 2 THEN 'protein' ELSE 'other' END AS kind, CAST(l_linenumber AS VARCHAR) AS name, max(CAST(l_partkey AS VARCHAR)) OVER (PARTITION BY l_orderkey, l_linenumber) AS hash FROM lineitem"
 
 
-@query("SELECT c_custkey, CASE WHEN a.s IS NOT NULL THEN a.s ELSE b.s END AS s_suppkey FROM customer LEFT JOIN (SELECT s_nationkey AS k, min(s_suppkey) AS s FROM supplier WHERE s_suppkey % 3 = 0 GROUP BY 1) a ON a.k = c_nationkey LEFT JOIN (SELECT s_nationkey AS k, min(s_suppkey) AS s FROM supplier WHERE s_suppkey % 3 = 0 GROUP BY 1) b ON b.k = (c_nationkey + 1) % 25 WHERE coalesce(a.s, b.s) IS NOT NULL")
+@query("""WITH known AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 'n' ELSE 'm' END || s_nationkey AS name, min(s_suppkey) AS s FROM supplier GROUP BY 1)
+SELECT c_custkey, coalesce(a.s, b.s) AS s_suppkey FROM customer LEFT JOIN known a ON a.name = 'n' || c_nationkey LEFT JOIN known b ON b.name = 'n' || (c_nationkey + 1) % 25 WHERE coalesce(a.s, b.s) IS NOT NULL""")
 def candidate_lookup(spark, d):
-    known = _t(spark, d, "supplier").filter("s_suppkey % 3 = 0").select(F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("name"), "s_suppkey")
+    name = F.concat(F.when(F.col("s_suppkey") % 3 == 0, "n").otherwise("m"), F.col("s_nationkey").cast("string"))
+    known = _t(spark, d, "supplier").select(name.alias("name"), "s_suppkey")
     tried = F.array(*(F.concat(F.lit("n"), n.cast("string")) for n in (F.col("c_nationkey"), (F.col("c_nationkey") + 1) % 25)))
     return compare.candidate_lookup(_t(spark, d, "customer").select("c_custkey", tried.alias("names")), "c_custkey", "names", known, "name", "s_suppkey")
 
